@@ -10,12 +10,17 @@ from wxlake.functions.numbers import ms_to_kmh, stable_round, step_value
 # Bounds and results of the display buckets.
 SCORE_COLORS = ((25, "#fab219"), (45, "#ec835a"), (65, "#6b4fae"))
 SCORE_COLOR_LOW = "#0ca30c"
-MOODS = ((20, "ça passe"), (40, "bof bof"), (60, "sortez les plaids"), (80, "misère totale"))
-MOOD_LOW = "tout va bien !"
+MOODS = (
+    (20, "🌤️ ça passe"), (40, "😶‍🌫️ bof bof"), (60, "🌧️ sortez les plaids"),
+    (80, "🫠 misère totale"),
+)
+MOOD_LOW = "☀️ tout va bien !"
 SKIES = ((25, "sky-nuageux"), (45, "sky-gris"), (65, "sky-misere"))
 SKY_LOW = "sky-soleil"
 RELIABILITIES = ((0.5, "correct"), (1.5, "douteux"))
 RELIABILITY_LOW = "fiable"
+BADGE_SEEN = "✔ vigilance "
+BADGE_NOT_SEEN = "✖ non vu par la vigilance"
 
 # Weather code -> symbol, valid from that code upwards.
 WEATHER_SYMBOLS = (
@@ -68,24 +73,27 @@ def day_symbol(precip: Column, temp_min: Column, sunshine: Column) -> Column:
 
 
 def alert_badge(status: Column, rate: Column, color: Column) -> Column:
-    """Text on the alert coverage of a run; empty where nothing can be said."""
+    """Text on the alert coverage of a run.
+
+    Empty for runs outside the archive and for runs without any alert map.
+    """
     percent = stable_round(F.coalesce(rate, F.lit(0.0)) * 100, 0).cast("int").cast("string")
+    seen = F.concat(
+        F.lit(BADGE_SEEN), F.coalesce(color, F.lit("")), F.lit(" ("), percent, F.lit(" %)")
+    )
     return (
-        F.when(
-            status == "confirmed",
-            F.concat(F.lit("alert "), F.coalesce(color, F.lit("")), F.lit(" ("), percent, F.lit(" %)")),
-        )
-        .when(status == "not_confirmed", F.lit("not seen by alerts"))
-        .when(status == "not_evaluated", F.lit(""))
-        .otherwise(F.lit(""))
+        F.when(status == "confirmed", seen)
+        .when(status == "not_confirmed", F.lit(BADGE_NOT_SEEN))
+        .when(status.isin("out_of_archive", "not_evaluated"), F.lit(""))
     )
 
 
 def intensity_text(kind: Column, intensity: Column) -> Column:
-    tenths = intensity.cast("decimal(18,1)").cast("string")
+    """Intensity with its unit; gusts are shown in km/h."""
+    tenths = F.regexp_replace(intensity.cast("decimal(18,1)").cast("string"), r"\.0$", "")
     kmh = stable_round(ms_to_kmh(intensity), 0).cast("int").cast("string")
     return (
         F.when(kind == "cold_spell", F.concat(F.lit("min "), tenths, F.lit("°C")))
-        .when(kind == "rain_spell", F.concat(tenths, F.lit(" mm")))
-        .when(kind == "wind_gust", F.concat(kmh, F.lit(" km/h")))
+        .when(kind == "rain_spell", F.concat(tenths, F.lit(" mm cumulés")))
+        .when(kind == "wind_gust", F.concat(F.lit("rafales "), kmh, F.lit(" km/h")))
     )

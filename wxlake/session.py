@@ -17,10 +17,11 @@ SQL_SETTINGS = {
     # more exchange further up the plan.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Area codes such as "06" must stay strings when read back from folders.
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+# Where a local session without spark.checkpoint.dir keeps its work folder.
+LOCAL_KEY = "wxlake.local.work.dir"
+
 
 def pin_session(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to an existing session."""
@@ -46,14 +47,14 @@ def work_folder(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may
     fall back to a folder of this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_KEY, None)
     if shared:
         return shared.rstrip("/")
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     local = tempfile.mkdtemp(prefix="wxlake-")
-    spark.conf.set("wxlake.local.work.dir", local)
+    spark.conf.set(LOCAL_KEY, local)
     return local
 
 
