@@ -1,21 +1,25 @@
-"""Explicit schemas of raw inputs and layer tables."""
+"""Explicit schemas of raw inputs and layer tables: column name -> type."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+Schema = dict[str, str]
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
 
+def ddl(schema: Schema) -> str:
+    """Schema text for ``DataFrameReader.schema``."""
+    return ", ".join(f"`{name}` {kind}" for name, kind in schema.items())
 
-def strings(*names: str) -> StructType:
+
+def of_type(kind: str, *names: str) -> Schema:
+    return {name: kind for name in names}
+
+
+def strings(*names: str) -> Schema:
     """All-string schema; raw text is converted later with try_cast."""
-    return StructType().add(names[0], "string") if len(names) == 1 else _ddl(
-        ", ".join(f"`{n}` string" for n in names)
-    )
+    return of_type("string", *names)
 
 
 # Column names of the raw daily, hourly and grid files.
@@ -36,67 +40,78 @@ GRID_REF_COLUMNS = ("LAMBX (hm)", "LAMBY (hm)", "LAT_DG", "LON_DG")
 GRID_MONTHLY_COLUMNS = ("LAMBX", "LAMBY", "DATE", "T", "PRETOTM")
 GRID_DAILY_COLUMNS = ("LAMBX", "LAMBY", "DATE", "T", "PRELIQ", "PRENEI", "FF", "HU", "SSI")
 
-# Fields of one live message.
-CURRENT_FIELDS = (
-    "temperature_2m double, relative_humidity_2m double, apparent_temperature double, "
-    "is_day int, precipitation double, rain double, showers double, snowfall double, "
-    "weather_code int, cloud_cover double, pressure_msl double, surface_pressure double, "
-    "wind_speed_10m double, wind_direction_10m double, wind_gusts_10m double"
-)
-LIVE_MESSAGE = _ddl(
-    "ingested_at string, city string, dept string, latitude double, longitude double, "
-    f"elevation double, time string, {CURRENT_FIELDS}"
-)
+# Measures of one live message.
+CURRENT: Schema = {
+    **of_type("double", "temperature_2m", "relative_humidity_2m", "apparent_temperature"),
+    "is_day": "int",
+    **of_type("double", "precipitation", "rain", "showers", "snowfall"),
+    "weather_code": "int",
+    **of_type(
+        "double", "cloud_cover", "pressure_msl", "surface_pressure", "wind_speed_10m",
+        "wind_direction_10m", "wind_gusts_10m",
+    ),
+}
+LIVE_MESSAGE: Schema = {
+    **strings("ingested_at", "city", "dept"),
+    **of_type("double", "latitude", "longitude", "elevation"),
+    "time": "string",
+    **CURRENT,
+}
 # The same message as captured, measures nested below `current`.
-NESTED_MESSAGE = _ddl(
-    "ingested_at string, poll int, city string, dept string, latitude double, "
-    "longitude double, elevation double, current struct<time: string, "
-    + ", ".join(f.replace(" ", ": ", 1) for f in CURRENT_FIELDS.split(", "))
-    + ">"
-)
-
-ALERT_DOCUMENT = _ddl(
-    "product struct<periods: array<struct<echeance: string, timelaps: struct<domain_ids: "
-    "array<struct<domain_id: string, max_color_id: string, phenomenon_items: "
-    "array<struct<phenomenon_id: string, phenomenon_max_color_id: string>>>>>>>>"
-)
+NESTED_MESSAGE: Schema = {
+    "ingested_at": "string", "poll": "int", **strings("city", "dept"),
+    **of_type("double", "latitude", "longitude", "elevation"),
+    "current": "struct<time: string, " + ", ".join(f"{n}: {t}" for n, t in CURRENT.items()) + ">",
+}
+
+ALERT_DOCUMENT: Schema = {
+    "product": (
+        "struct<periods: array<struct<echeance: string, timelaps: struct<domain_ids: "
+        "array<struct<domain_id: string, max_color_id: string, phenomenon_items: "
+        "array<struct<phenomenon_id: string, phenomenon_max_color_id: string>>>>>>>>"
+    )
+}
 
 # {year: {month: {day: {time: [files]}}}}
 ARCHIVE_TREE = "map<string, map<string, map<string, map<string, array<string>>>>>"
 
-OBSERVATIONS = _ddl(
-    "source string, station_id string, station_name string, dept string, "
-    "latitude double, longitude double, elevation double, granularity string, "
-    "obs_date date, obs_time timestamp, temperature double, temp_min double, "
-    "temp_max double, precipitation_mm double, humidity_pct double, pressure_hpa double, "
-    "wind_speed_ms double, wind_gust_ms double, sunshine_min double, frost_min double, "
-    "fog double, snowfall_cm double, cloud_cover_pct double, weather_code int"
-)
-OBSERVATIONS_HOURLY = _ddl(
-    "station_id string, station_name string, dept string, latitude double, "
-    "longitude double, elevation double, obs_ts timestamp, temp double, precip_mm double, "
-    "wind_ms double, gust_ms double, humidity_pct double"
-)
-GRID = _ddl(
-    "kind string, lambx int, lamby int, obs_date date, temp double, precip_mm double, "
-    "wind_ms double, humidity_pct double, ssi double"
-)
-ALERTS = _ddl(
-    "vig_date date, dept string, dept_max_color_id int, phenomenon_id int, color_id int, "
-    "phenomene string"
-)
-EPISODES = _ddl(
-    "dept string, city string, type string, start_date date, end_date date, "
-    "n_days bigint, intensity double"
-)
-
-
-def _padded(df: DataFrame, name: str, dtype) -> Column:
+OBSERVATIONS: Schema = {
+    **strings("source", "station_id", "station_name", "dept"),
+    **of_type("double", "latitude", "longitude", "elevation"),
+    "granularity": "string", "obs_date": "date", "obs_time": "timestamp",
+    **of_type(
+        "double", "temperature", "temp_min", "temp_max", "precipitation_mm", "humidity_pct",
+        "pressure_hpa", "wind_speed_ms", "wind_gust_ms", "sunshine_min", "frost_min", "fog",
+        "snowfall_cm", "cloud_cover_pct",
+    ),
+    "weather_code": "int",
+}
+OBSERVATIONS_HOURLY: Schema = {
+    **strings("station_id", "station_name", "dept"),
+    **of_type("double", "latitude", "longitude", "elevation"),
+    "obs_ts": "timestamp",
+    **of_type("double", "temp", "precip_mm", "wind_ms", "gust_ms", "humidity_pct"),
+}
+GRID: Schema = {
+    "kind": "string", **of_type("int", "lambx", "lamby"), "obs_date": "date",
+    **of_type("double", "temp", "precip_mm", "wind_ms", "humidity_pct", "ssi"),
+}
+ALERTS: Schema = {
+    "vig_date": "date", "dept": "string",
+    **of_type("int", "dept_max_color_id", "phenomenon_id", "color_id"), "phenomene": "string",
+}
+EPISODES: Schema = {
+    **strings("dept", "city", "type"), **of_type("date", "start_date", "end_date"),
+    "n_days": "bigint", "intensity": "double",
+}
+
+
+def _padded(df: DataFrame, name: str, kind: str) -> Column:
     if name in df.columns:
-        return F.col(f"`{name}`").cast(dtype).alias(name)
-    return F.lit(None).cast(dtype).alias(name)
+        return F.col(f"`{name}`").cast(kind).alias(name)
+    return F.lit(None).cast(kind).alias(name)
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+def conform(df: DataFrame, schema: Schema) -> DataFrame:
     """Project to a layer schema; absent columns become typed NULLs."""
-    return df.select(*[_padded(df, f.name, f.dataType) for f in schema])
+    return df.select(*[_padded(df, name, kind) for name, kind in schema.items()])
