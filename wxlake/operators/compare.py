@@ -21,15 +21,11 @@ def by_met_day(df: DataFrame, ts: str, temp: str, rain: str) -> DataFrame:
     temp_day, rain_day = met_day_temp(F.col(ts)), met_day_rain(F.col(ts))
     nothing = F.lit(None).cast("double")
 
-    def row(day, t, r, is_rain):
-        return F.struct(
-            day.alias("obs_day"), t.alias("temp"), r.alias("rain"), is_rain.alias("rain_row")
-        )
-
-    both = F.array(row(temp_day, F.col(temp), F.col(rain), F.lit(1)))
-    split = F.array(
-        row(temp_day, F.col(temp), nothing, F.lit(0)), row(rain_day, nothing, F.col(rain), F.lit(1))
-    )
+    def row(day, t, r):
+        return F.struct(day.alias("obs_day"), t.alias("temp"), r.alias("rain"))
+
+    both = F.array(row(temp_day, F.col(temp), F.col(rain)))
+    split = F.array(row(temp_day, F.col(temp), nothing), row(rain_day, nothing, F.col(rain)))
     others = [c for c in df.columns if c not in (temp, rain)]
     return df.select(*others, F.inline(F.when(temp_day == rain_day, both).otherwise(split)))
 
