@@ -96,10 +96,12 @@ def official_observations(
     )
 
 
-def live_measures(df: DataFrame) -> DataFrame:
+def live_measures(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Live message fields to the common model; wind in m/s. No state."""
+    kept = {name: kind for name, kind in df.dtypes if name in keep}
     return schemas.conform(
         df.select(
+            *keep,
             F.lit(LIVE).alias("source"),
             F.col("city").alias("station_id"),
             F.col("city").alias("station_name"),
@@ -118,7 +120,7 @@ def live_measures(df: DataFrame) -> DataFrame:
             F.col("cloud_cover").alias("cloud_cover_pct"),
             "weather_code",
         ),
-        schemas.OBSERVATIONS,
+        {**kept, **schemas.OBSERVATIONS},
     )
 
 
