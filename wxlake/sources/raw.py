@@ -107,12 +107,12 @@ def read_live_messages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.ddl(schemas.LIVE_MESSAGE)).json(folder)
 
 
-def read_alert_documents(spark: SparkSession, folder: str) -> DataFrame:
+def read_alert_documents(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
     """One JSON document per day, dated by its folder."""
     documents = (
         spark.read.schema(schemas.ddl(schemas.ALERT_DOCUMENT))
         .option("multiLine", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").json(folder)
+        .option("pathGlobFilter", glob).json(folder)
     )
     dated = with_path_field(documents, "vig_date", DATE_FIELD)
     return dated.withColumn("vig_date", F.col("vig_date").try_cast("date"))
