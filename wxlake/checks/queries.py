@@ -12,7 +12,7 @@ from wxlake import dimensions, schemas
 from wxlake.checks import bindings as b
 from wxlake.checks import oracle as o
 from wxlake.checks.oracle import rnd, sql
-from wxlake.functions import dates, geo, index, labels, numbers
+from wxlake.functions import dates, geo, labels, numbers
 from wxlake.operators import (
     alerts, clean, compare, dedup, episodes, lots, maps, profile, ranking, rollup, serve,
 )
@@ -226,7 +226,7 @@ def _(spark, sf):
 
 @query("write_partitions", """
     SELECT source, cast(year(obs_date) as integer) AS year, cast(month(obs_date) as integer) AS month,
-      count(*) AS n_rows, sum(cast(temperature as bigint)) AS temperature_sum FROM obs GROUP BY 1, 2, 3""")
+      count(*) AS n_rows, cast(sum(cast(temperature as bigint)) as bigint) AS temperature_sum FROM obs GROUP BY 1, 2, 3""")
 def _(spark, sf):
     path = fresh_folder(spark, "partitions")
     rows = clean.with_month(b.observations(spark, sf))
@@ -1122,18 +1122,11 @@ def _(spark, sf):
 def _(spark, sf):
     """Smoothed index at each featured city, from the featured cities of its day."""
     points = maps.featured_values(_daily(spark, sf), "gloom")
-    around = F.array_sort(F.collect_list(F.struct("city", "lat", "lon", "value")))
-    days = points.groupBy("obs_date").agg(around.alias("stations"))
+    days = maps.stations_by_day(points)
     placed = days.withColumn("target", F.explode("stations"))
-    pairs = placed.withColumn("weighted", F.transform("stations", lambda s: F.struct(
-        geo.idw_weight(F.col("target.lat"), F.col("target.lon"), s["lat"], s["lon"]).alias("w"),
-        s["value"].alias("v"),
-    )))
-    total = F.aggregate("weighted", F.lit(0.0), lambda acc, s: acc + s["w"] * s["v"])
-    weight = F.aggregate("weighted", F.lit(0.0), lambda acc, s: acc + s["w"])
-    return pairs.select(
-        "obs_date", F.col("target.city").alias("city"),
-        numbers.stable_round(total / weight, 3).alias("value"),
+    value = maps.idw_value(F.col("target.lat"), F.col("target.lon"), "stations")
+    return placed.select(
+        "obs_date", F.col("target.city").alias("city"), numbers.stable_round(value, 3).alias("value")
     )
 
 
@@ -1444,21 +1437,36 @@ def _(spark, sf):
 
 
 @query("stream_latest", """
-    SELECT station_id, obs_time, gloom_live FROM (
-      SELECT *, row_number() OVER (PARTITION BY station_id, obs_time ORDER BY ingested_at DESC, gloom_live DESC) AS rn
-      FROM (SELECT station_id, obs_time, ingested_at, max(gloom_live) AS gloom_live FROM (SELECT * FROM stream_scored)
-        GROUP BY 1, 2, 3)) WHERE rn = 1""")
+    SELECT station_id, obs_time, ingested_at, gloom_live FROM (
+      SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY obs_time DESC, ingested_at DESC, gloom_live DESC) AS rn
+      FROM stream_scored) WHERE rn = 1""")
 def _(spark, sf):
+    """Live status kept up to date batch by batch: one row per city."""
     folder = fresh_folder(spark, "live")
     rows = streams.live_rows(_message_stream(spark, sf)).select(
         "station_id", "obs_time", "ingested_at", "gloom_live"
     )
     streams.upsert_latest(
-        rows, f"{folder}/table", f"{folder}/checkpoint", ["station_id", "obs_time"], ["ingested_at"],
+        rows, f"{folder}/table", f"{folder}/checkpoint", ["station_id"], ["obs_time", "ingested_at"],
         available_now=True,
     )
     latest = streams.current_version(spark, f"{folder}/table", dict(rows.dtypes))
-    return _plain_time(latest.select("station_id", "obs_time", "gloom_live"), "obs_time")
+    return _plain_time(latest, "obs_time")
+
+
+@query("stream_dedup", """
+    SELECT station_id, obs_time, gloom_live FROM (
+      SELECT *, row_number() OVER (PARTITION BY station_id, obs_time ORDER BY ingested_at DESC, gloom_live DESC) AS rn
+      FROM stream_scored) WHERE rn = 1""")
+def _(spark, sf):
+    """Newest poll per city and quarter hour, from a log of the changes of each batch."""
+    folder = fresh_folder(spark, "log")
+    keys, newest = ["station_id", "obs_time"], ["ingested_at"]
+    rows = streams.live_rows(_message_stream(spark, sf)).select(*keys, *newest, "gloom_live")
+    streams.log_latest(rows, f"{folder}/log", f"{folder}/checkpoint", keys, newest, available_now=True)
+    log = spark.read.schema(schemas.ddl(dict(rows.dtypes))).parquet(f"{folder}/log")
+    latest = dedup.latest_per_key(log.select(*rows.columns), keys, newest)
+    return _plain_time(latest.select(*keys, "gloom_live"), "obs_time")
 
 
 @query("stream_rate", """
@@ -1468,8 +1476,8 @@ def _(spark, sf):
     folder = fresh_folder(spark, "rate")
     events = _event_stream(spark, sf).select(F.col("ts").cast("timestamp").alias("timestamp"))
     rate = streams.message_rate(events)
-    streams.publish_updates(rate, f"{folder}/updates", f"{folder}/checkpoint", available_now=True)
-    changes = spark.read.schema(schemas.ddl(dict(rate.dtypes))).parquet(f"{folder}/updates/*")
+    streams.log_updates(rate, f"{folder}/updates", f"{folder}/checkpoint", available_now=True)
+    changes = spark.read.schema(schemas.ddl(dict(rate.dtypes))).parquet(f"{folder}/updates")
     # Counts of a window only grow, so its last update is its largest.
     latest = changes.groupBy("window_start").agg(F.max("n").alias("n"), F.max("per_second").alias("per_second"))
     return _plain_time(latest, "window_start")

@@ -24,17 +24,33 @@ def featured_values(daily: DataFrame, value: str, day: str = "obs_date") -> Data
     return means.filter(F.col("value").isNotNull())
 
 
+def stations_by_day(points: DataFrame, day: str = "obs_date") -> DataFrame:
+    """The points of each day as one array, at most one per featured city."""
+    stations = F.array_sort(F.collect_list(F.struct("lat", "lon", "value", "city")))
+    return points.groupBy(day).agg(stations.alias("stations"))
+
+
+def idw_value(lat: Column, lon: Column, stations: str) -> Column:
+    """Inverse-distance weighted mean of an array of stations at a place."""
+
+    def weight(s):
+        return geo.idw_weight(lat, lon, s["lat"], s["lon"])
+
+    total = F.aggregate(stations, F.lit(0.0), lambda acc, s: acc + weight(s) * s["value"])
+    return total / F.aggregate(stations, F.lit(0.0), lambda acc, s: acc + weight(s))
+
+
 def interpolate(points: DataFrame, rows: int, columns: int, day: str = "obs_date") -> DataFrame:
     """Inverse-distance map of each day on a grid of evenly spaced Mercator rows.
 
     ``points`` holds at most one value per featured city and day, so the array of
-    a day has ten entries at most. Each grid point folds over that array; nothing
-    is shuffled after the days are gathered and no pairs are formed.
+    a day has ten entries at most. Each grid point folds over that array in a
+    fixed order; nothing is shuffled after the days are gathered and no pairs are
+    formed.
     """
-    stations = F.array_sort(F.collect_list(F.struct("lat", "lon", "value")))
-    days = points.groupBy(day).agg(stations.alias("stations"))
-    pixels = days.withColumn("pixel", F.explode(F.sequence(F.lit(0), F.lit(rows * columns - 1))))
-    # Each fold is over at most ten stations, in a fixed order.
+    pixels = stations_by_day(points, day).withColumn(
+        "pixel", F.explode(F.sequence(F.lit(0), F.lit(rows * columns - 1)))
+    )
     placed = pixels.withColumns({
         "row": F.floor(F.col("pixel") / columns).cast("int"),
         "col": (F.col("pixel") % columns).cast("int"),
@@ -42,22 +58,11 @@ def interpolate(points: DataFrame, rows: int, columns: int, day: str = "obs_date
         "lat": geo.row_latitude(F.col("row"), rows),
         "lon": geo.column_longitude(F.col("col"), columns),
     })
-    weighted = placed.withColumn(
-        "weighted",
-        F.transform("stations", lambda s: F.struct(
-            geo.idw_weight(F.col("lat"), F.col("lon"), s["lat"], s["lon"]).alias("w"),
-            s["value"].alias("v"),
-        )),
-    )
-
-    def total(term) -> Column:
-        return F.aggregate("weighted", F.lit(0.0), lambda acc, s: acc + term(s))
-
-    value = total(lambda s: s["w"] * s["v"]) / total(lambda s: s["w"])
-    return weighted.select(
+    # A step of its own: in one select, a lambda would see the rounded aliases.
+    valued = placed.withColumn("value", idw_value(F.col("lat"), F.col("lon"), "stations"))
+    return valued.select(
         day, "row", "col",
-        stable_round(F.col("lat"), 4).alias("lat"), stable_round(F.col("lon"), 4).alias("lon"),
-        stable_round(value, 3).alias("value"),
+        *[stable_round(F.col(c), n).alias(c) for c, n in (("lat", 4), ("lon", 4), ("value", 3))],
     )
 
 

@@ -98,7 +98,8 @@ def upsert_latest(
     Batch n writes version n: the newest rows of version n - 1 and of the batch.
     A repeated batch rewrites the same version from the same input, so a restart
     neither loses nor doubles rows, and a late older row never replaces a newer
-    one. The table has one row per key.
+    one. Each batch rewrites the table, so use it for one row per city; see
+    ``log_latest`` for keys that grow with time.
     """
     columns = {name: kind for name, kind in rows.dtypes}
 
@@ -135,20 +136,39 @@ def message_rate(
     )
 
 
-def publish_updates(
-    counted: DataFrame, path: str, checkpoint: str, available_now: bool = False,
-    trigger: str = TRIGGER,
-) -> StreamingQuery:
-    """Write the changed rows of each batch to a folder of their own."""
+def _log(writer, path: str, change, available_now: bool, trigger: str) -> StreamingQuery:
+    """Write what ``change`` makes of each batch to a folder of its own.
+
+    The work of a batch depends on the batch alone, and a repeated batch replaces
+    its own folder.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        change(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = (
-        counted.writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _start(writer, available_now, trigger)
+    return _start(writer.foreachBatch(write), available_now, trigger)
+
+
+def log_latest(
+    rows: DataFrame, path: str, checkpoint: str, keys: list[str], newest: list[str],
+    available_now: bool = False, trigger: str = TRIGGER,
+) -> StreamingQuery:
+    """Log the newest row per key of each batch.
+
+    For keys that grow with time, such as city and quarter hour. Readers take the
+    newest row per key over the log, so late rows are never lost.
+    """
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    return _log(writer, path, lambda b: latest_per_key(b, keys, newest), available_now, trigger)
+
+
+def log_updates(
+    counted: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+    trigger: str = TRIGGER,
+) -> StreamingQuery:
+    """Log the aggregates that changed in each batch."""
+    writer = counted.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return _log(writer, path, lambda b: b, available_now, trigger)
 
 
 def error_lines(lines: DataFrame, column: str = "value", pattern: str = ERROR_LINE) -> DataFrame:
