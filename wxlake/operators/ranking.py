@@ -72,15 +72,17 @@ def period_rollup(daily: DataFrame, anchor: Column | None = None) -> DataFrame:
     once and every task sends one partial row per area.
     """
     anchor = last_day(daily) if anchor is None else anchor
-    last_year = F.year(anchor)
+    # The scalar becomes a column once; everything below refers to that column.
+    dated = daily.withColumn("_last", anchor)
+    last, last_year = F.col("_last"), F.year("_last")
     periods = {
-        "month": ((F.col("year") == last_year) & (F.col("month") == F.month(anchor)),
-                  dates.month_label(anchor)),
-        "year": (F.col("year") == last_year, dates.years_label(anchor, 1)),
-        "5years": (F.col("year") >= last_year - 4, dates.years_label(anchor, 5)),
-        "10years": (F.col("year") >= last_year - 9, dates.years_label(anchor, 10)),
+        "month": ((F.col("year") == last_year) & (F.col("month") == F.month(last)),
+                  dates.month_label(last)),
+        "year": (F.col("year") == last_year, dates.years_label(last, 1)),
+        "5years": (F.col("year") >= last_year - 4, dates.years_label(last, 5)),
+        "10years": (F.col("year") >= last_year - 9, dates.years_label(last, 10)),
     }
-    aggregates = []
+    aggregates = [F.max("_last").alias("_last")]
     for name, (inside, _) in periods.items():
         aggregates += [
             F.avg(F.when(inside, F.col("gloom"))).alias(f"{name}_gloom"),
@@ -89,7 +91,7 @@ def period_rollup(daily: DataFrame, anchor: Column | None = None) -> DataFrame:
             F.count(F.when(inside, F.lit(1))).alias(f"{name}_days"),
         ]
     # Only days inside the longest period can count.
-    wide = daily.filter(periods["10years"][0]).groupBy("dept", "city").agg(*aggregates)
+    wide = dated.filter(periods["10years"][0]).groupBy("dept", "city").agg(*aggregates)
     rows = F.array(*[
         F.struct(
             F.lit(name).alias("period_type"), label.alias("period_label"),

@@ -63,9 +63,8 @@ def chart_rows(daily: DataFrame, days: int = 30, latest: Column | None = None) -
 def month_ranking(ranking: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
     """Ranking of one month, by default the last one present."""
     if year is None or month is None:
-        last = ranking.agg(F.max(F.struct("year", "month")).alias("last"))
-        chosen = last.select((F.col("last.year") * 100 + F.col("last.month")).alias("ym")).scalar()
-        picked = ranking.filter(F.col("year") * 100 + F.col("month") == chosen)
+        number = F.col("year") * 100 + F.col("month")
+        picked = ranking.filter(number == ranking.agg(F.max(number).alias("last")).scalar())
     else:
         picked = ranking.filter((F.col("year") == year) & (F.col("month") == month))
     return picked.orderBy("gloom_rank", "dept")
