@@ -603,14 +603,13 @@ def _(spark, sf):
 
 @query("anti_join_lots", f"""
     SELECT * FROM ({ORDERED_LOTS}) p WHERE NOT EXISTS (
-      SELECT 1 FROM raw r WHERE r.dept = p.dept AND r.l_linenumber = 1 AND p.family = 'RR-T-Vent'
-        AND p.period = CASE WHEN year(r.obs_date) <= 1998 THEN 'avant-1949' ELSE 'previous-1950-2024' END
+      SELECT 1 FROM supplier s WHERE {o.area('s_nationkey')} = p.dept AND p.family = 'RR-T-Vent'
+        AND p.period = CASE WHEN s_acctbal < 2000 THEN 'avant-1949' ELSE 'previous-1950-2024' END
         AND p.snapshot IS NULL)""")
 def _(spark, sf):
-    rows = b.daily_rows(spark, sf).filter("l_linenumber = 1")
-    present = rows.select(
-        F.substring("NUM_POSTE", 1, 2).alias("dept"), F.lit("RR-T-Vent").alias("family"),
-        F.when(F.year("obs_date") <= 1998, "avant-1949").otherwise("previous-1950-2024").alias("period"),
+    present = b.table(spark, sf, "supplier").select(
+        b.area_code(F.col("s_nationkey")).alias("dept"), F.lit("RR-T-Vent").alias("family"),
+        F.when(F.col("s_acctbal") < 2000, "avant-1949").otherwise("previous-1950-2024").alias("period"),
         F.lit(None).cast("date").alias("snapshot"),
     ).distinct()
     return lots.pending_lots(_planned(spark, sf), present, ["dept", "family", "period", "snapshot"])
@@ -1301,6 +1300,23 @@ def _(spark, sf):
     )
 
 
+@query("grid_day_cells", """
+    SELECT obs_date, array_to_string([coalesce(cast(x as varchar), 'null') for x in
+      [lat, lon, temp, precip_mm, wind_ms, humidity_pct, ssi, gloom]], ',') AS cell
+    FROM cell_day WHERE obs_date = date '1997-06-15'""")
+def _(spark, sf):
+    cells = maps.cells_of_day(rollup.cell_daily(b.grid(spark, sf)), "1997-06-15")
+    return cells.withColumn("cell", F.array_join(F.col("cell").cast("array<string>"), ",", "null"))
+
+
+@query("grid_dates", """
+    SELECT DISTINCT 'day' AS kind, strftime(obs_date, '%Y-%m-%d') AS value FROM cell_day0
+    UNION ALL SELECT DISTINCT 'year', cast(year as varchar) FROM cell_month0""")
+def _(spark, sf):
+    grid = b.grid(spark, sf)
+    return maps.grid_dates(rollup.cell_day_measures(grid), rollup.cell_month_measures(grid, "1900-2100"))
+
+
 @query("series_pivot", """
     SELECT obs_date, """ + ", ".join(
     f"max(CASE WHEN city = '{c}' THEN gloom END) AS \"{c}\"" for c in dimensions.CHART_CITIES) + """

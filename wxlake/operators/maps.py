@@ -132,6 +132,32 @@ def compact_cells(cells: DataFrame, keys: Sequence[str], columns: Sequence[str |
     return cells.select(*keys, F.array(*entries).alias("cell"))
 
 
+def cells_of_day(grid_daily: DataFrame, day: str) -> DataFrame:
+    """Compact cells of one day; year and month prune the table's folders."""
+    at_day = (
+        (F.col("year") == int(day[:4])) & (F.col("month") == int(day[5:7]))
+        & (F.col("obs_date") == F.to_date(F.lit(day)))
+    )
+    return compact_cells(grid_daily.filter(at_day), ["obs_date"], CELL_DAY)
+
+
+def cells_of_month(grid_monthly: DataFrame, year: int, month: int) -> DataFrame:
+    """Compact cells of one month in the layout of the daily ones."""
+    at_month = (F.col("year") == year) & (F.col("month") == month)
+    return compact_cells(grid_monthly.filter(at_month), ["year", "month"], CELL_MONTH)
+
+
+def grid_dates(grid_daily: DataFrame, grid_monthly: DataFrame) -> DataFrame:
+    """Days with daily cells and years with monthly cells, as text."""
+    days = grid_daily.select(
+        F.lit("day").alias("kind"), F.date_format("obs_date", "yyyy-MM-dd").alias("value")
+    )
+    years = grid_monthly.select(
+        F.lit("year").alias("kind"), F.col("year").cast("string").alias("value")
+    )
+    return days.distinct().unionByName(years.distinct()).orderBy("kind", "value")
+
+
 def grid_source_by_day(days: DataFrame, grid_daily: DataFrame, grid_monthly: DataFrame) -> DataFrame:
     """Which source draws each day: daily cells, else monthly cells, else stations.
 

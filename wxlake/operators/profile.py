@@ -51,27 +51,32 @@ def area_month_profile(obs: DataFrame, days: int = 31) -> DataFrame:
     )
 
 
-def _histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
     ])
-    long = df.select(F.inline(rows)).filter(F.col("value").isNotNull())
-    return long.groupBy("column", "value").agg(F.count("*").alias("n"))
+    return df.select(F.inline(rows)).filter(F.col("value").isNotNull())
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int = 256
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], margin: float = 5e-4
 ) -> DataFrame:
     """Exact interpolated quantiles of any number of rows.
 
-    Values are counted first, so a frequent value is one row. The distinct values
-    are split at approximate quantiles of themselves into even buckets; only the
-    few buckets that hold a wanted position are sorted. No task ever holds all
-    values of a column.
+    Values are counted first, so a frequent value is one row. Approximate
+    quantiles a little below and above each wanted one cut the values into
+    buckets; exact counts per bucket tell which ones hold the wanted positions,
+    and only those are sorted. They hold about one row in a thousand, and no task
+    ever holds all values of a column.
     """
-    counted = _histogram(df, columns)
-    edges = F.lit([i / buckets for i in range(1, buckets)])
-    cuts = counted.groupBy("column").agg(F.percentile_approx("value", edges, 10000).alias("cuts"))
+    long = _long_values(df, columns)
+    edges = sorted({
+        min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)
+    })
+    cuts = long.groupBy("column").agg(
+        F.percentile_approx("value", F.lit(edges), 10000).alias("cuts")
+    )
+    counted = long.groupBy("column", "value").agg(F.count("*").alias("n"))
     # One row per profiled column on the broadcast side.
     placed = counted.join(F.broadcast(cuts), "column").select(
         "column", "value", "n",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxlake import schemas
+from wxlake.operators.lots import FAMILIES
 
 # Path fields and file names.
 SNAPSHOT_FIELD = r"snapshot=(\d{4}-\d{2}-\d{2})"
@@ -61,6 +62,19 @@ def header_columns(spark: SparkSession, paths: str | Sequence[str], glob: str =
     return reader.csv(paths).columns
 
 
+def _read_lots(
+    spark: SparkSession, paths: str | list[str], columns: Sequence[str] | None, known: Sequence[str]
+) -> DataFrame:
+    """Lots with the given columns, else those of their header line.
+
+    Without any complete lot the result is empty.
+    """
+    if not paths:
+        none = spark.createDataFrame([], schemas.ddl(schemas.strings(*(columns or known))))
+        return none.withColumn("snapshot", F.lit(None).cast("string"))
+    return read_csv_lots(spark, paths, columns or header_columns(spark, paths))
+
+
 def read_daily_family(
     spark: SparkSession, root: str, family: str, columns: Sequence[str] | None = None,
     complete_only: bool = False,
@@ -69,7 +83,9 @@ def read_daily_family(
     paths: str | list[str] = f"{root}/dept=*/period=*/family={family}"
     if complete_only:
         paths = [p for p in complete_lot_folders(spark, root) if f"/family={family}" in p]
-    return read_csv_lots(spark, paths, columns or header_columns(spark, paths))
+    first = family == FAMILIES[0]
+    known = schemas.DAILY_MAIN_COLUMNS if first else schemas.DAILY_OTHER_COLUMNS
+    return _read_lots(spark, paths, columns, known)
 
 
 def read_hourly(
@@ -78,7 +94,7 @@ def read_hourly(
     paths: str | list[str] = f"{root}/dept=*/period=*"
     if complete_only:
         paths = complete_lot_folders(spark, root)
-    return read_csv_lots(spark, paths, columns or header_columns(spark, paths))
+    return _read_lots(spark, paths, columns, schemas.HOURLY_COLUMNS)
 
 
 def read_grid_values(
@@ -89,7 +105,8 @@ def read_grid_values(
     paths: str | list[str] = f"{root}/kind={kind}"
     if complete_only:
         paths = complete_lot_folders(spark, paths)
-    return read_csv_lots(spark, paths, columns or header_columns(spark, paths))
+    known = schemas.GRID_MONTHLY_COLUMNS if kind == "mens" else schemas.GRID_DAILY_COLUMNS
+    return _read_lots(spark, paths, columns, known)
 
 
 def read_grid_reference(spark: SparkSession, path: str) -> DataFrame:
