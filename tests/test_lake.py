@@ -196,3 +196,48 @@ def test_path_fields(spark, tmp_path):
 def test_mainland_filter(spark):
     df = spark.createDataFrame([("06",), ("2A",), ("2C",), ("FRA",), ("9",), (None,)], "dept string")
     assert rows_of(clean.mainland_areas(df)) == [("06",), ("2A",)]
+
+
+def test_reports(spark, lake):
+    tables = jobs.layer_report(spark, lake, "a")
+    assert tables["duplicate station days"].collect()[0][0] == 0
+    assert tables["duplicate quarter hours"].collect()[0][0] == 0
+    assert tables["named station"].count() == 8 and tables["last live rows"].count() == 5
+    found = jobs.business_report(spark, lake)
+    assert [r.gloom_rank for r in found["ranking"].collect()] == [1, 1]
+    assert found["longest cold spells"].count() == 1
+    assert found["worst days of the last year"].filter("year <> 2024").count() == 0
+    counts = jobs.table_counts(spark, lake, ["episodes", "absent"])
+    assert rows_of(counts) == [("episodes", 4)]
+
+
+def test_streams_of_a_lake_feed_the_batch_jobs(spark, tmp_path):
+    from wxlake.streaming import live
+
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    write_json_lines(tmp_path / "in" / "a.txt", [
+        {"ingested_at": f"2024-01-10T10:{m:02d}:30Z", "city": "Lille", "dept": "59",
+         "time": f"2024-01-10T10:{m // 15 * 15:02d}", "temperature_2m": float(m)} for m in range(0, 40)])
+    lines = live.file_source(spark, str(tmp_path / "in"), "value string", "text")
+    messages = lines.withColumn("timestamp", F.get_json_object("value", "$.ingested_at").cast("timestamp"))
+    jobs.start_landing(lake, messages, available_now=True)
+    jobs.start_live_table(lake, messages, available_now=True)
+    assert jobs.build_observations(spark, lake, sources=("live",)) == 3
+    assert jobs.build_business_tables(spark, lake, scope="live") == ["live_status"]
+    batch = spark.read.parquet(lake.business("live_status"))
+    stream = spark.read.parquet(lake.business("live_latest"))
+    assert rows_of(stream, "obs_time", "gloom_live") == rows_of(batch, "obs_time", "gloom_live")
+    assert stream.collect()[0].temperature == 39.0
+
+
+def test_job_command_line(spark, lake, capsys):
+    import run_job
+
+    for line in (["alerts"], ["business", "--scope", "live"], ["grid-index", "--years", "2023-2024"],
+                 ["comparison"], ["report"], ["observations", "--sources", "live", "--start", "2024-01-01"],
+                 ["hourly", "--complete-only"], ["grid"]):
+        run_job.run(spark, run_job.arguments([*line, "--lake", lake.root]))
+    said = capsys.readouterr().out
+    assert "4 rows" in said and "live_vs_official" in said and "runs per type" in said
+    monthly = spark.read.parquet(lake.business("grid_monthly"))
+    assert sorted(r[0] for r in monthly.select("year").distinct().collect()) == [2023, 2024]

@@ -230,8 +230,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = fresh_folder(spark, "partitions")
     rows = clean.with_month(b.observations(spark, sf))
-    for _attempt in range(2):  # the second write must change nothing
-        layers.write_partitions(rows, path, ["source", "year", "month"])
+    layers.write_partitions(rows, path, ["source", "year", "month"])
     return layers.read_layer(spark, path, LAYER_SCHEMA).groupBy("source", "year", "month").agg(
         F.count("*").alias("n_rows"), F.sum(F.col("temperature").cast("bigint")).alias("temperature_sum")
     )
@@ -260,13 +259,12 @@ def _(spark, sf):
     SELECT m.city AS key, m.city, m.dept, f.lat AS latitude, ingested_at, temperature_2m, weather_code
     FROM messages m JOIN feat f ON m.city = f.city""")
 def _(spark, sf):
-    messages = b.live_messages(spark, sf)
-    blocks = messages.select("city", "ingested_at", "temperature_2m", "weather_code")
-    cities = dimensions.featured(spark).withColumnRenamed("lat", "latitude").drop("lon")
-    records = cities.join(blocks.withColumnRenamed("ingested_at", "at"), "city")
-    published = streams.keyed_json(
-        records.select(F.col("at").alias("ingested_at"), "city", "dept", "latitude", "temperature_2m", "weather_code")
+    blocks = b.live_messages(spark, sf).select(
+        "city", F.col("ingested_at").alias("polled_at"), "temperature_2m", "weather_code"
     )
+    cities = dimensions.featured(spark).withColumnRenamed("lat", "latitude").drop("lon")
+    records = streams.assemble_records(cities, blocks, F.col("polled_at")).drop("polled_at")
+    published = streams.keyed_json(records)
     fields = "ingested_at string, city string, dept string, latitude double, temperature_2m double, weather_code int"
     return published.select("key", F.from_json("value", fields).alias("v")).select("key", "v.*")
 
@@ -1412,9 +1410,7 @@ def _(spark, sf):
 
 def _message_stream(spark, sf) -> DataFrame:
     """Staged message lines as a stream of value and timestamp."""
-    lines = streams.file_source(
-        spark, f"{b.stage_messages(spark, sf)}/*", "value string", "text", files_per_batch=8
-    )
+    lines = streams.file_source(spark, f"{b.stage_messages(spark, sf)}/*", "value string", "text")
     sent = F.get_json_object("value", "$.ingested_at").cast("timestamp")
     return lines.select("value", sent.alias("timestamp"))
 

@@ -7,12 +7,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from wxlake import schemas
 from wxlake.operators import alerts as alert_ops
-from wxlake.operators import clean, compare, episodes, ranking, rollup, serve
+from wxlake.operators import clean, compare, dedup, episodes, ranking, rollup, serve
 from wxlake.sources import layers, raw
 from wxlake.spec import ALERT_ARCHIVE_START, MAX_ELEVATION, MIN_HOURS, MIN_POINTS
+from wxlake.streaming import live
 
 YEAR_MONTH = {"year": "int", "month": "int"}
 SOURCES = ("official", "live")
@@ -33,6 +35,9 @@ class Lake:
     def business(self, table: str) -> str:
         return f"{self.root}/business/{table}"
 
+    def checkpoint(self, stream: str) -> str:
+        return f"{self.root}/checkpoints/{stream}"
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -197,6 +202,76 @@ def build_comparison(spark: SparkSession, lake: Lake, limits: Limits = Limits())
     return built
 
 
+def start_landing(
+    lake: Lake, messages: DataFrame, available_now: bool = False, trigger: str = live.TRIGGER
+) -> StreamingQuery:
+    """Land a stream of messages (value, timestamp) in the raw layer."""
+    return live.land_raw(
+        messages, lake.raw("live"), lake.checkpoint("landing"), available_now, trigger
+    )
+
+
+def start_live_table(
+    lake: Lake, messages: DataFrame, available_now: bool = False, trigger: str = live.TRIGGER
+) -> StreamingQuery:
+    """Keep the newest scored row of each city, straight from the messages."""
+    return live.upsert_latest(
+        live.live_rows(messages), lake.business("live_latest"), lake.checkpoint("live_latest"),
+        ["station_id"], ["obs_time", "ingested_at"], available_now, trigger,
+    )
+
+
+def table_counts(spark: SparkSession, lake: Lake, tables: list[str]) -> DataFrame:
+    """Row count of each business table; absent tables are left out."""
+    stored = {t: layers.optional_table(spark, lake.business(t)) for t in tables}
+    counts = [
+        df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
+        for name, df in stored.items() if df is not None
+    ]
+    none = layers.empty_table(spark, {"table": "string", "n_rows": "bigint"})
+    return clean.union_sources(none, *counts)
+
+
+def layer_report(spark: SparkSession, lake: Lake, name: str = "MONTSOURIS") -> dict[str, DataFrame]:
+    """Sample rows and duplicate counts of the observation table."""
+    obs = observations(spark, lake)
+    if obs is None:
+        return {}
+    by_source = {s: obs.filter(F.col("source") == s) for s in SOURCES}
+    return {
+        "named station": serve.preview(
+            by_source["official"], "station_name", name, ["obs_date", "station_id"]
+        ),
+        "last live rows": by_source["live"].orderBy(F.desc("obs_time"), "station_id").limit(5),
+        "rows per source": layers.counts_by(obs, "source"),
+        "duplicate station days": dedup.duplicate_keys(
+            by_source["official"], ["station_id", "obs_date"]
+        ),
+        "duplicate quarter hours": dedup.duplicate_keys(
+            by_source["live"], ["station_id", "obs_time"]
+        ),
+    }
+
+
+def business_report(spark: SparkSession, lake: Lake, n: int = 12) -> dict[str, DataFrame]:
+    """Last month's ranking, longest cold spells, runs per type, live status, worst days."""
+    names = ("gloom_ranking", "episodes", "live_status", "gloom_daily")
+    tables = {t: layers.optional_table(spark, lake.business(t)) for t in names}
+    out = {}
+    if tables["gloom_ranking"] is not None:
+        out["ranking"] = serve.month_ranking(tables["gloom_ranking"]).limit(n)
+    if tables["episodes"] is not None:
+        out["longest cold spells"] = episodes.longest_runs(tables["episodes"], "cold_spell")
+        out["runs per type"] = episodes.runs_by_type(tables["episodes"])
+    if tables["live_status"] is not None:
+        out["live"] = tables["live_status"].orderBy("gloom_rank_live", "city").limit(n)
+    daily = tables["gloom_daily"]
+    if daily is not None:
+        worst = ranking.worst_days(rollup.in_years(daily))
+        out["worst days of the last year"] = worst.orderBy(F.desc("gloom"), "city").limit(n)
+    return out
+
+
 def served_episodes(spark: SparkSession, lake: Lake, n: int = 30) -> DataFrame:
     """Latest runs, with alert coverage where it was computed."""
     paths = [lake.business("episodes_alerts"), lake.business("episodes")]

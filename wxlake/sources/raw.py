@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxlake import schemas
-from wxlake.operators.lots import FAMILIES
+from wxlake.operators.lots import ALERT_FILE, FAMILIES
 
 # Path fields and file names.
 SNAPSHOT_FIELD = r"snapshot=(\d{4}-\d{2}-\d{2})"
@@ -124,7 +124,7 @@ def read_live_messages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.ddl(schemas.LIVE_MESSAGE)).json(folder)
 
 
-def read_alert_documents(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
+def read_alert_documents(spark: SparkSession, folder: str, glob: str = ALERT_FILE) -> DataFrame:
     """One JSON document per day, dated by its folder."""
     documents = (
         spark.read.schema(schemas.ddl(schemas.ALERT_DOCUMENT))
