@@ -65,9 +65,10 @@ def exact_quantiles(
 
     Values are counted first, so a frequent value is one row. Approximate
     quantiles a little below and above each wanted one cut the values into
-    buckets; exact counts per bucket tell which ones hold the wanted positions,
-    and only those are sorted. They hold about one row in a thousand, and no task
-    ever holds all values of a column.
+    ranges; exact counts per range tell which ones hold the wanted positions, and
+    only those are sorted. They hold about one row in a thousand, and no task ever
+    holds all values of a column. A chosen range is known by its end values and
+    the exact count below it, so approximate cuts never change a result.
     """
     long = _long_values(df, columns)
     edges = sorted({
@@ -78,35 +79,47 @@ def exact_quantiles(
     )
     counted = long.groupBy("column", "value").agg(F.count("*").alias("n"))
     # One row per profiled column on the broadcast side.
-    placed = counted.join(F.broadcast(cuts), "column").select(
-        "column", "value", "n",
-        F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("bucket"),
+    ranged = counted.join(F.broadcast(cuts), "column").select(
+        "column", "n",
+        F.array_max(F.filter("cuts", lambda c: c < F.col("value"))).alias("above"),
+        F.array_min(F.filter("cuts", lambda c: c >= F.col("value"))).alias("upto"),
     )
     by_column = Window.partitionBy("column")
-    before = F.sum("n").over(by_column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    totals = placed.groupBy("column", "bucket").agg(F.sum("n").alias("n")).select(
-        "column", "bucket", "n", F.coalesce(before, F.lit(0)).alias("before"),
+    in_order = by_column.orderBy(F.col("above").asc_nulls_first())
+    below = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    # At most one row per cut and column.
+    ranges = ranged.groupBy("column", "above", "upto").agg(F.sum("n").alias("n")).select(
+        "column", "above", "upto", "n", F.coalesce(below, F.lit(0)).alias("below"),
         F.sum("n").over(by_column).alias("total"),
     )
-    wanted = F.array(*[
-        F.struct(F.lit(float(p)).alias("p"), ((F.col("total") - 1) * float(p)).alias("position"))
-        for p in probabilities
-    ])
-    ends = F.flatten(F.transform(wanted, lambda w: F.array(
-        F.struct(w["p"].alias("p"), w["position"].alias("position"), F.floor(w["position"]).alias("at")),
-        F.struct(w["p"].alias("p"), w["position"].alias("position"), F.ceil(w["position"]).alias("at")),
+
+    def neighbours(p: float):
+        """The two positions, counted from 0, that a quantile lies between."""
+        position = (F.col("total") - 1) * p
+        return [
+            F.struct(F.lit(p).alias("p"), position.alias("position"), end(position).alias("at"))
+            for end in (F.floor, F.ceil)
+        ]
+
+    wanted = F.array(*[entry for p in probabilities for entry in neighbours(float(p))])
+    first, last = F.col("below"), F.col("below") + F.col("n") - 1
+    chosen = ranges.select(
+        "column", "above", "upto", "below",
+        F.filter(wanted, lambda w: w["at"].between(first, last)).alias("wanted"),
+    ).filter(F.size("wanted") > 0)
+    inside = (F.col("above").isNull() | (F.col("value") > F.col("above"))) & (
+        F.col("upto").isNull() | (F.col("value") <= F.col("upto"))
+    )
+    # At most two ranges per column and probability on the broadcast side.
+    candidates = counted.join(F.broadcast(chosen), "column").filter(inside)
+    in_range = Window.partitionBy("column", "above").orderBy("value")
+    upto_here = F.sum("n").over(in_range.rowsBetween(Window.unboundedPreceding, 0))
+    placed = candidates.withColumn("last", F.col("below") + upto_here - 1).withColumn(
+        "first", F.col("last") - F.col("n") + 1
+    )
+    hits = placed.select("column", "value", F.inline(F.filter(
+        "wanted", lambda w: w["at"].between(F.col("first"), F.col("last"))
     )))
-    inside = F.filter(ends, lambda e: (e["at"] >= F.col("before")) & (e["at"] < F.col("before") + F.col("n")))
-    # At most two rows per column and probability.
-    targets = totals.select("column", "bucket", "before", F.inline(inside))
-    buckets_hit = targets.select("column", "bucket", "before").distinct()
-    in_bucket = Window.partitionBy("column", "bucket").orderBy("value")
-    sorted_values = placed.join(F.broadcast(buckets_hit), ["column", "bucket"]).withColumn(
-        "last", F.col("before") + F.sum("n").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    ).withColumn("first", F.col("last") - F.col("n") + 1)
-    hits = sorted_values.join(
-        F.broadcast(targets.select("column", "bucket", "p", "position", "at")), ["column", "bucket"]
-    ).filter((F.col("at") >= F.col("first")) & (F.col("at") <= F.col("last")))
     low, high = F.min("value"), F.max("value")
     fraction = F.max(F.col("position") - F.floor("position"))
     return hits.groupBy("column", "p").agg((low + (high - low) * fraction).alias("quantile"))

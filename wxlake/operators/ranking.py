@@ -29,7 +29,8 @@ def rank_by_score(df: DataFrame, score: str, name: str, keys: Sequence[str] = ()
 
     A rank is one plus the number of rows with a higher score. Rows are counted
     per distinct score first (an index with one decimal has at most 1,001
-    values), so the only sorted group is that of the distinct scores.
+    values), so the only sorted group is that of the distinct scores. The score
+    must be rounded: it is also the key of the join back.
     """
     keys = list(keys)
     counts = df.groupBy(*keys, score).agg(F.count("*").alias("_n"))
@@ -42,7 +43,7 @@ def rank_by_score(df: DataFrame, score: str, name: str, keys: Sequence[str] = ()
     same = F.col(score).eqNullSafe(F.col("_score"))
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return df.join(ranks, same, "inner").drop("_score", *[f"_{k}" for k in keys])
+    return df.join(ranks, same, "left").drop("_score", *[f"_{k}" for k in keys])
 
 
 def monthly_rollup(daily: DataFrame) -> DataFrame:
