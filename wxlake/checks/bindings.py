@@ -368,8 +368,7 @@ def stage_alerts(spark: SparkSession, sf: str) -> str:
             F.to_json(F.struct("product")).alias("value"),
             F.date_format("vig_date", "yyyy-MM-dd").alias("date"),
         )
-        # One document per file needs one record per folder: one day each.
-        documents.hint("rebalance", "date").write.partitionBy("date").option(
-            "compression", "none"
-        ).text(folder)
+        # One small file per day: spread over all cores instead of rebalanced by size.
+        tasks = spark.sparkContext.defaultParallelism * 4
+        documents.repartition(tasks, "date").write.partitionBy("date").text(folder)
     return staged(spark, sf, "alerts", write)

@@ -11,6 +11,10 @@ MONTH_FORMAT = "yyyyMM"
 HOUR_FORMAT = "yyyyMMddHH"
 QUARTER_FORMAT = "yyyy-MM-dd'T'HH:mm"
 
+# Minute after midnight at which a meteorological day begins.
+TEMP_DAY_STARTS = 1
+RAIN_DAY_STARTS = 361
+
 
 def parse_day(text: Column) -> Column:
     return F.try_to_date(text, DAY_FORMAT)
@@ -29,14 +33,19 @@ def parse_quarter(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(QUARTER_FORMAT))
 
 
+def met_day(ts: Column, first_minute: int) -> Column:
+    """Day of a reading when days begin that many minutes after midnight."""
+    return F.to_date(ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(first_minute)))
+
+
 def met_day_temp(ts: Column) -> Column:
     """Day a temperature belongs to: 00:01 to 24:00, so 00:00 is the day before."""
-    return F.to_date(ts - F.expr("INTERVAL 1 MINUTE"))
+    return met_day(ts, TEMP_DAY_STARTS)
 
 
 def met_day_rain(ts: Column) -> Column:
     """Day a rain amount belongs to: 06:01 to 06:00 of the next day."""
-    return F.to_date(ts - F.expr("INTERVAL 361 MINUTES"))
+    return met_day(ts, RAIN_DAY_STARTS)
 
 
 def quarter_floor(ts: Column) -> Column:
