@@ -1,5 +1,9 @@
 """Runs of days, comparison of sources, alerts."""
 
+import random
+from datetime import date
+
+import pytest
 from conftest import day, moment, rows_of
 from pyspark.sql import functions as F
 
@@ -50,6 +54,23 @@ def test_run_lengths_sum_to_flagged_days(spark):
     assert total == rows.filter("gust_ms >= 20").count()
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_islands_match_brute_force(spark, seed):
+    rng = random.Random(seed)
+    start = day("1999-11-01").toordinal()
+    days = {(k, start + i) for k in "ab" for i in range(150) if rng.random() < 0.7}
+    expected = []
+    for key, first in sorted(days):
+        if (key, first - 1) not in days:
+            last = first
+            while (key, last + 1) in days:
+                last += 1
+            expected.append((key, date.fromordinal(first), date.fromordinal(last), last - first + 1, last - first + 1))
+    df = spark.createDataFrame([(k, date.fromordinal(d)) for k, d in days], "k string, d date")
+    found = episodes.islands(df, ["k"], "d", [F.count("*").alias("n")])
+    assert rows_of(found, "k", "start_date", "end_date", "n_days", "n") == sorted(expected, key=repr)
+
+
 def hourly(spark, rows):
     return spark.createDataFrame(rows, "dept string, station_id string, elevation double, obs_ts timestamp, temp double, precip_mm double")
 

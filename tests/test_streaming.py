@@ -112,3 +112,6 @@ def test_error_lines(spark):
 def test_kafka_needs_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         live.kafka_source(spark, "localhost:1", "t")
+    records = spark.createDataFrame([("Nice", 1.0)], "city string, t double")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        live.publish(records, "localhost:1", "t")

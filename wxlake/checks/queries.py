@@ -1248,6 +1248,17 @@ def _(spark, sf):
     )
 
 
+@query("datediff", """
+    SELECT l_orderkey, l_linenumber, l_partkey,
+      cast(datediff('day', cast(o_orderdate as date), cast(l_shipdate as date)) as integer) AS days
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def _(spark, sf):
+    items, orders = b.table(spark, sf, "lineitem"), b.table(spark, sf, "orders")
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.date_diff("l_shipdate", "o_orderdate").alias("days")
+    )
+
+
 @query("date_sequence", "SELECT dept, type, start_date, day FROM run_days")
 def _(spark, sf):
     return alerts.run_days(_runs(spark, sf)).select("dept", "type", "start_date", "day")

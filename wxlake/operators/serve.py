@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from wxlake.dimensions import CHART_CITIES
 from wxlake.functions import labels
 from wxlake.functions.dates import day_text
+from wxlake.functions.index import SPEC
 from wxlake.functions.numbers import stable_round
 from wxlake.operators.dedup import latest_per_key
 from wxlake.operators.ranking import rank_by_score
 from wxlake.operators.rollup import live_index
+from wxlake.spec import LIVE, IndexSpec
 
 # Columns served for one day and for the chart.
 DAY_COLUMNS = (
@@ -31,16 +33,21 @@ LIVE_COLUMNS = (
 )
 
 
-def latest_live(obs: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
+def latest_live(
+    obs: DataFrame, tiebreak: Sequence[str] | None = None, spec: IndexSpec = SPEC
+) -> DataFrame:
     """Newest live row of each city with its index."""
-    scored = live_index(latest_per_key(obs.filter(F.col("source") == "live"),
-                                       ["station_id"], ["obs_time"], tiebreak))
+    live = obs.filter(F.col("source") == LIVE)
+    newest = latest_per_key(live, ["station_id"], ["obs_time"], tiebreak)
+    scored = live_index(newest, spec)
     return scored.withColumn("city", F.col("station_id")).select(*LIVE_COLUMNS)
 
 
-def live_status(obs: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
+def live_status(
+    obs: DataFrame, tiebreak: Sequence[str] | None = None, spec: IndexSpec = SPEC
+) -> DataFrame:
     """Newest live row of each city, ranked over all cities."""
-    return rank_by_score(latest_live(obs, tiebreak), "gloom_live", "gloom_rank_live")
+    return rank_by_score(latest_live(obs, tiebreak, spec), "gloom_live", "gloom_rank_live")
 
 
 def day_lookup(daily: DataFrame, day: str, columns: Sequence[str] = DAY_COLUMNS) -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wxlake import schemas
+from wxlake.functions.index import SPEC
 from wxlake.operators import alerts as alert_ops
 from wxlake.operators import clean, compare, dedup, episodes, ranking, rollup, serve
 from wxlake.sources import layers, raw
-from wxlake.spec import ALERT_ARCHIVE_START, MAX_ELEVATION, MIN_HOURS, MIN_POINTS
+from wxlake.spec import ALERT_ARCHIVE_START, MAX_ELEVATION, MIN_HOURS, MIN_POINTS, IndexSpec
 from wxlake.streaming import live
 
 YEAR_MONTH = {"year": "int", "month": "int"}
@@ -121,29 +122,30 @@ def build_alerts(spark: SparkSession, lake: Lake) -> int:
     )
 
 
-def build_live_tables(spark: SparkSession, lake: Lake) -> list[str]:
+def build_live_tables(spark: SparkSession, lake: Lake, spec: IndexSpec = SPEC) -> list[str]:
     """The live status alone; cheap enough for every live cycle."""
     obs = observations(spark, lake)
     if obs is None:
         return []
-    layers.write_small_table(serve.live_status(obs), lake.business("live_status"))
+    layers.write_small_table(serve.live_status(obs, spec=spec), lake.business("live_status"))
     return ["live_status"]
 
 
 def build_business_tables(
-    spark: SparkSession, lake: Lake, scope: str = "full", limits: Limits = Limits()
+    spark: SparkSession, lake: Lake, scope: str = "full", limits: Limits = Limits(),
+    spec: IndexSpec = SPEC, renormalise_missing: bool = False,
 ) -> list[str]:
     """Daily index, rankings, podiums, runs and days; ``scope="live"`` only the status.
 
     The daily table is written first and the others read it back: the shared
     work is done once and survives the loss of executors.
     """
-    built = build_live_tables(spark, lake)
+    built = build_live_tables(spark, lake, spec)
     obs = observations(spark, lake)
     if scope == "live" or obs is None:
         return built
     daily_path = lake.business("gloom_daily")
-    daily = rollup.area_daily(obs, max_elevation=limits.max_elevation)
+    daily = rollup.area_daily(obs, spec, limits.max_elevation, renormalise_missing)
     layers.write_partitions(daily, daily_path, ["year"])
     stored = layers.read_layer(spark, daily_path, dict(daily.dtypes))
     tables = {
@@ -157,17 +159,19 @@ def build_business_tables(
     return [*built, "gloom_daily", *tables]
 
 
-def build_grid_tables(spark: SparkSession, lake: Lake, years: str = "") -> list[str]:
+def build_grid_tables(
+    spark: SparkSession, lake: Lake, years: str = "", spec: IndexSpec = SPEC
+) -> list[str]:
     """Daily cells in full; monthly cells of the given or the latest year."""
     schema = {**schemas.GRID, "lat": "double", "lon": "double", **YEAR_MONTH}
     grid = layers.optional_table(spark, lake.layer("grid"), schema)
     if grid is None:
         return []
     layers.write_partitions(
-        rollup.cell_daily(grid), lake.business("grid_daily"), ["year", "month"]
+        rollup.cell_daily(grid, spec), lake.business("grid_daily"), ["year", "month"]
     )
     layers.write_partitions(
-        rollup.cell_monthly(grid, years), lake.business("grid_monthly"), ["year"]
+        rollup.cell_monthly(grid, years, spec), lake.business("grid_monthly"), ["year"]
     )
     return ["grid_daily", "grid_monthly"]
 

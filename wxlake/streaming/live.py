@@ -53,6 +53,14 @@ def keyed_json(records: DataFrame, key: str = "city") -> DataFrame:
     )
 
 
+def publish(records: DataFrame, servers: str, topic: str, key: str = "city") -> None:
+    """Send a table of records to a topic. Needs the Kafka connector."""
+    (
+        keyed_json(records, key).write.format("kafka")
+        .option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    )
+
+
 def assemble_records(cities: DataFrame, blocks: DataFrame, ingested_at: Column) -> DataFrame:
     """City reference and measures joined on the city, with the ingest time."""
     joined = cities.join(blocks, "city", "inner")
