@@ -990,6 +990,44 @@ def _(spark, sf):
     return ranking.podium_split(podiums).select("period_type", "dept", "gloom_rank", "place", "part")
 
 
+@query("podium_rest", """
+    SELECT period_type, greatest(count(*) - 15, 0) AS n_others FROM podiums GROUP BY period_type""")
+def _(spark, sf):
+    podiums = ranking.period_podiums(_daily(spark, sf), _last_day(spark, sf))
+    return ranking.podium_rest(ranking.podium_split(podiums))
+
+
+@query("period_title", f"""
+    SELECT period_type, period_label, CASE WHEN period_type = 'month' THEN
+      list_extract({o.texts(labels.MONTHS)}, cast(split_part(period_label, '-', 2) as integer)) || ' '
+        || split_part(period_label, '-', 1) ELSE period_label END AS title, count(*) AS n_areas
+    FROM periods GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    rows = ranking.period_rollup(_daily(spark, sf), _last_day(spark, sf))
+    title = labels.period_title(F.col("period_type"), F.col("period_label"))
+    return layers.counts_by(
+        rows.select("period_type", "period_label", title.alias("title")),
+        "period_type", "period_label", "title",
+    ).withColumnRenamed("n_rows", "n_areas")
+
+
+@query("age_text", """
+    SELECT event_id, CASE WHEN m < 1 THEN 'à l''instant' WHEN m < 60 THEN 'il y a ' || cast(m as varchar) || ' min'
+      ELSE 'il y a ' || cast(m // 60 as varchar) || ' h ' || lpad(cast(m % 60 as varchar), 2, '0') END AS age,
+      CASE WHEN m <= 20 THEN 'fresh' WHEN m <= 90 THEN 'late' ELSE 'stale' END AS freshness
+    FROM (SELECT event_id, datediff('minute', date_trunc('minute', ts),
+            (SELECT date_trunc('minute', max(ts)) FROM events)) AS m FROM events)""")
+def _(spark, sf):
+    """Age of each reading at the time of the last one."""
+    events = b.table(spark, sf, "events")
+    minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
+    last = events.agg(F.max(minute).alias("last")).scalar()
+    aged = events.select("event_id", (last - minute).alias("m"))
+    return aged.select(
+        "event_id", labels.age_text(F.col("m")).alias("age"), labels.freshness(F.col("m")).alias("freshness")
+    )
+
+
 @query("series_order", "SELECT city, obs_day, diff_temp FROM compared WHERE obs_day >= (SELECT max(obs_day) FROM compared) - 14")
 def _(spark, sf):
     recent = serve.trailing_days(_compared(spark, sf), "obs_day", 14)

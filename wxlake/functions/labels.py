@@ -19,6 +19,10 @@ SKIES = ((25, "sky-nuageux"), (45, "sky-gris"), (65, "sky-misere"))
 SKY_LOW = "sky-soleil"
 RELIABILITIES = ((0.5, "correct"), (1.5, "douteux"))
 RELIABILITY_LOW = "fiable"
+MONTHS = (
+    "janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre",
+    "octobre", "novembre", "décembre",
+)
 BADGE_SEEN = "✔ vigilance "
 BADGE_NOT_SEEN = "✖ non vu par la vigilance"
 
@@ -56,6 +60,25 @@ def freshness(minutes: Column) -> Column:
     )
 
 
+def age_text(minutes: Column) -> Column:
+    """Age of a table in words, from whole minutes."""
+    hours = F.floor(minutes / 60).cast("string")
+    rest = F.lpad((minutes % 60).cast("int").cast("string"), 2, "0")
+    return (
+        F.when(minutes < 1, "à l'instant")
+        .when(minutes < 60, F.concat(F.lit("il y a "), minutes.cast("int").cast("string"), F.lit(" min")))
+        .otherwise(F.concat(F.lit("il y a "), hours, F.lit(" h "), rest))
+    )
+
+
+def period_title(kind: Column, label: Column) -> Column:
+    """Title of a ranking period: a month by name, other labels as they are."""
+    names = F.array(*[F.lit(m) for m in MONTHS])
+    month = F.try_element_at(names, F.split_part(label, F.lit("-"), F.lit(2)).try_cast("int"))
+    named = F.concat(month, F.lit(" "), F.split_part(label, F.lit("-"), F.lit(1)))
+    return F.when(kind == "month", named).otherwise(label)
+
+
 def weather_symbol(code: Column) -> Column:
     return step_value(code, WEATHER_SYMBOLS, NO_SYMBOL)
 

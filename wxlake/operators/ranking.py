@@ -132,6 +132,11 @@ def podium_split(ranking: DataFrame, group: str = "period_type", first: int = 3,
     return ranking.withColumn("place", place).withColumn("part", part)
 
 
+def podium_rest(split: DataFrame, group: str = "period_type") -> DataFrame:
+    """How many rows of each group are neither on the podium nor listed."""
+    return split.groupBy(group).agg(F.count_if(F.col("part") == "others").alias("n_others"))
+
+
 def worst_days(daily: DataFrame, group: str = "city", score: str = "gloom") -> DataFrame:
     """Rows that reach the highest score of their group; ties are kept.
 
