@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wxlake.checks import bindings as b
-from wxlake.operators import dedup, episodes, ranking, rollup
+from wxlake.operators import dedup, episodes, lots, ranking, rollup
 from wxlake.sources import layers
 
 SF = "/root/testdata/sf0.001"
@@ -88,6 +88,48 @@ def test_hot_key_reaches_the_exchange_once_per_task(spark):
     assert found.count() == 60001 and sent == 60000 + 6
 
 
+@pytest.fixture
+def small_partitions(spark):
+    """Make a few megabytes look like a big cluster's partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_hot_join_key_is_split(spark, small_partitions):
+    """A third of the rows share one key on both the semi join and the join back."""
+    rows = spark.range(0, 400000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1000).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    markers = spark.range(0, 1000, 1, 8).select((F.col("id") - 1).alias("k"))
+    found = lots.complete_lots(rows, markers, ["k"])
+    assert len(found.collect()) == rows.filter("k < 999").count()
+    assert "skew=true" in plan(found)
+    scored = rows.withColumn("score", F.when(F.col("k") == -1, 99.0).otherwise(F.col("k") % 50 * 1.0))
+    ranked = ranking.rank_by_score(scored, "score", "place")
+    assert len(ranked.collect()) == 400000 and "skew=true" in plan(ranked)
+
+
+def test_a_hot_folder_is_written_by_several_tasks(spark, small_partitions, tmp_path):
+    rows = spark.range(0, 200000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 10).cast("string")).alias("g"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    layers.write_partitions(rows, str(tmp_path / "t"), ["g"])
+    files = [p.parent.name for p in (tmp_path / "t").rglob("*.parquet")]
+    assert files.count("g=hot") > 3 and spark.read.parquet(str(tmp_path / "t")).count() == 200000
+
+
 def _metric(executed, name):
     """Sum of a metric over the exchanges of a finished plan."""
     total, todo = 0, [executed]
