@@ -21,8 +21,10 @@ def connect(sf: str):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for name in TABLES:
-        if Path(f"{sf}/{name}.parquet").exists():
-            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
+        path = Path(f"{sf}/{name}.parquet")
+        if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else str(path)
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
