@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxlake.session import fresh_folder, pin_session
 
-#: Spark DDL of the characters that separate words, as a Java and RE2 class.
-SPACE_CLASS = r"\x20\x09-\x0D"
+#: Folder of the package, for the Python workers of a session that was started elsewhere.
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def pin(spark: SparkSession) -> SparkSession:
     """Settings of the operators: short Arrow batches, as single texts may be long."""
     pin_session(spark)
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 

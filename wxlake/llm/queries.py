@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxlake.llm import line_dedup, packing, quality, token_counts, top_k, url_filter
+from wxlake.llm import line_dedup, packing, pieces, quality, secret_scan, substrings, token_counts, top_k, url_filter
 from wxlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,22 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
+@query("op5_sentencepiece")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.encode_and_decode(table(spark, sf, "documents"))
+
+
+@query("op6_substring_dedup")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    kept = substrings.without_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf, "documents"))
+
+
 @query("op8_line_dedup", """
 with docs as (select doc_id, source, text, case when text is not null then string_split(text, chr(10)) end as lines from documents),
 pages as (select source, count(*) as pages from docs group by source),
