@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxlake.llm import line_dedup, packing, pieces, quality, secret_scan, substrings, token_counts, top_k, url_filter
+import corpus_pipeline
+from wxlake.llm import jaccard, line_dedup, packing, pieces, quality, secret_scan, substrings, token_counts, top_k, url_filter
 from wxlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +144,11 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return marked.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op9_ngram_jaccard_join")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(table(spark, sf, "documents"))
+
+
 @query("op10_exact_top_k", """
 with usable as (
     select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
@@ -155,3 +161,6 @@ ranked as (select query_id, row_number() over (partition by query_id order by sc
 select query_id, rank, vec_id, score from ranked where rank <= 5""")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return top_k.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
