@@ -33,15 +33,28 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
             "--complete-only", action="store_true"
         )
     job("alerts", "raw alert maps to their table")
-    job("business", "index, rankings, runs, live status").add_argument(
-        "--scope", default="full", choices=["live", "full"]
-    )
+    step = job("business", "index, rankings, runs, live status")
+    step.add_argument("--scope", default="full", choices=["live", "full"])
+    step.add_argument("--since", type=date.fromisoformat, help="first day that changed, for the live status")
+    step.add_argument("--renormalise-missing", action="store_true")
+    step.add_argument("--max-elevation", type=float, default=jobs.Limits.max_elevation)
     job("grid-index", "index per cell").add_argument("--years", default="")
-    job("comparison", "live against official, runs against alerts")
+    step = job("comparison", "live against official, runs against alerts")
+    step.add_argument("--max-elevation", type=float, default=jobs.Limits.max_elevation)
+    step.add_argument("--min-hours", type=int, default=jobs.Limits.min_hours)
+    step.add_argument("--min-points", type=int, default=jobs.Limits.min_points)
+    step.add_argument("--archive-start", default=jobs.Limits.archive_start)
     job("report", "samples and counts of the tables")
-    step = job("landing", "stream of messages to the raw layer")
-    step.add_argument("--servers", required=True)
-    step.add_argument("--topic", required=True)
+    streams = {
+        "landing": "stream of messages to the raw layer",
+        "live-table": "stream of messages to the newest row of each city",
+        "publish": "a business table to a topic",
+    }
+    for name, text in streams.items():
+        step = job(name, text)
+        step.add_argument("--servers", required=True)
+        step.add_argument("--topic", required=True)
+    step.add_argument("--table", default="live_status")
     return parser.parse_args(argv)
 
 
@@ -56,19 +69,25 @@ def run(spark, args: argparse.Namespace) -> None:
         print(jobs.build_grid(spark, lake, args.complete_only), "rows")
     elif args.job == "alerts":
         print(jobs.build_alerts(spark, lake), "rows")
-    elif args.job == "landing":
+    elif args.job in ("landing", "live-table"):
         messages = live.kafka_source(spark, args.servers, args.topic)
-        jobs.start_landing(lake, messages).awaitTermination()
+        start = jobs.start_landing if args.job == "landing" else jobs.start_live_table
+        start(lake, messages).awaitTermination()
+    elif args.job == "publish":
+        live.publish(spark.read.parquet(lake.business(args.table)), args.servers, args.topic)
     elif args.job == "report":
         tables = {**jobs.layer_report(spark, lake), **jobs.business_report(spark, lake)}
         for title, table in tables.items():
             print(title)
             table.show(truncate=False)
     else:
+        given = {k: v for k, v in vars(args).items() if k in jobs.Limits.__dataclass_fields__}
+        limits = jobs.Limits(**given)
         built = {
-            "business": lambda: jobs.build_business_tables(spark, lake, args.scope),
+            "business": lambda: jobs.build_business_tables(
+                spark, lake, args.scope, limits, renormalise_missing=args.renormalise_missing, since=args.since),
             "grid-index": lambda: jobs.build_grid_tables(spark, lake, args.years),
-            "comparison": lambda: jobs.build_comparison(spark, lake),
+            "comparison": lambda: jobs.build_comparison(spark, lake, limits),
         }[args.job]()
         jobs.table_counts(spark, lake, built).show(truncate=False)
 

@@ -184,7 +184,7 @@ def test_partition_folders_get_one_file_each(spark, tmp_path):
 
 def test_newest_write(spark, tmp_path):
     layers.write_small_table(spark.range(3), str(tmp_path / "t"))
-    assert layers.newest_write(spark.read.parquet(str(tmp_path / "t"))).collect()[0][0] is not None
+    assert layers.newest_write(spark, str(tmp_path / "t")).collect()[0][0] is not None
 
 
 def test_path_fields(spark, tmp_path):
@@ -241,3 +241,60 @@ def test_job_command_line(spark, lake, capsys):
     assert "4 rows" in said and "live_vs_official" in said and "runs per type" in said
     monthly = spark.read.parquet(lake.business("grid_monthly"))
     assert sorted(r[0] for r in monthly.select("year").distinct().collect()) == [2023, 2024]
+
+
+def test_fallback_on_an_empty_table_has_one_schema(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    runs = spark.sql("SELECT '59' dept, 'Lille' city, 'cold_spell' type, DATE'2024-01-01' start_date, "
+                     "DATE'2024-01-04' end_date, 4L n_days, -5.0D intensity")
+    assert jobs.served_episodes(spark, lake).count() == 0
+    layers.write_small_table(runs, lake.business("episodes"))
+    alone = jobs.served_episodes(spark, lake)
+    layers.write_small_table(layers.empty_table(spark, schemas.EPISODES_ALERTS), lake.business("episodes_alerts"))
+    beside_empty = jobs.served_episodes(spark, lake)
+    assert alone.schema == beside_empty.schema and "max_color" in alone.columns
+    assert alone.collect() == beside_empty.collect() and alone.count() == 1
+
+
+def _poll(city, moment, temperature):
+    return {"ingested_at": moment + ":30Z", "city": city, "dept": "59", "time": moment, "temperature_2m": temperature}
+
+
+def test_live_cycle_keeps_silent_cities_and_replaces_months(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    live = Path(lake.raw("live"))
+    write_json_lines(live / "ingest_date=2024-01-10" / "a.txt", [_poll("Lille", "2024-01-10T10:00", 1.0), _poll("Lyon", "2024-01-10T10:00", 2.0)])
+    jobs.build_observations(spark, lake, ("live",))
+    assert jobs.build_live_tables(spark, lake, since=date(2024, 2, 1)) == ["live_status"]  # nothing stored: in full
+    write_json_lines(live / "ingest_date=2024-02-03" / "a.txt", [_poll("Lille", "2024-02-03T10:00", 3.0), _poll("Lille", "2024-02-02T10:00", 4.0)])
+    jobs.build_observations(spark, lake, ("live",), date(2024, 2, 3))
+    jobs.build_live_tables(spark, lake, since=date(2024, 2, 3))
+    cycle = spark.read.parquet(lake.business("live_status")).collect()
+    assert sorted((r.city, r.temperature) for r in cycle) == [("Lille", 3.0), ("Lyon", 2.0)]
+    jobs.build_live_tables(spark, lake)
+    assert sorted(map(tuple, spark.read.parquet(lake.business("live_status")).collect())) == sorted(map(tuple, cycle))
+
+
+def test_a_range_prunes_folders(spark, tmp_path):
+    live = tmp_path / "live"
+    write_json_lines(live / "ingest_date=2024-01-10" / "a.txt", [_poll("Lille", "2024-01-10T10:00", 1.0)])
+    write_json_lines(live / "ingest_date=2024-03-10" / "a.txt", [_poll("Lille", "2024-03-10T10:00", 1.0)])
+    late = raw.read_live_messages(spark, str(live), date(2024, 3, 1))
+    plan = late._jdf.queryExecution().toString()
+    assert late.count() == 1 and "PartitionFilters: [isnotnull(ingest_date" in plan
+    columns = schemas.DAILY_MAIN_COLUMNS
+    for period in ("previous-1950-2024", "latest-2025-2026"):
+        write_lot(tmp_path, f"dept=59/period={period}/family=RR-T-Vent/snapshot=2026-01-01", columns, [{"NUM_POSTE": period}])
+    read = raw.read_daily_family(spark, str(tmp_path), "RR-T-Vent", start=date(2025, 5, 1))
+    assert rows_of(read, "NUM_POSTE") == [("latest-2025-2026",)]
+    assert raw.read_daily_family(spark, str(tmp_path), "RR-T-Vent", end=date(1940, 1, 1)).count() == 0
+
+
+def test_markers_are_found_without_reading_data_files(spark, tmp_path):
+    columns = schemas.DAILY_MAIN_COLUMNS
+    for dept, marker in (("01", True), ("02", False), ("0 3", True)):
+        write_lot(tmp_path, f"dept={dept}/period=p/family=RR-T-Vent/snapshot=2026-01-01", columns, [{"NUM_POSTE": dept}], marker)
+    found = raw.complete_lots(spark, f"{tmp_path}/dept=*/period=*/family=*/snapshot=*")
+    assert found.count() == 2
+    rows = raw.read_daily_family(spark, str(tmp_path), "RR-T-Vent", complete_only=True)
+    assert rows_of(rows, "NUM_POSTE") == [("0 3",), ("01",)]

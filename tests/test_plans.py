@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from wxlake import schemas
+
 from wxlake.checks import bindings as b
 from wxlake.operators import dedup, episodes, lots, ranking, rollup
 from wxlake.sources import layers
@@ -163,3 +165,38 @@ def test_no_query_leaves_the_jvm_or_joins_without_a_key(spark):
 def test_bindings_read_only_needed_columns(spark):
     text = plan(b.observations(spark, SF).select("dept", "temperature"))
     assert "l_extendedprice" not in text and "l_shipdate" not in text
+
+
+def test_job_path_reads_and_sorts_only_what_the_model_has(spark, tmp_path):
+    from conftest import write_lot
+    from wxlake.operators import clean
+    from wxlake.sources import raw
+
+    columns = [*schemas.DAILY_MAIN_COLUMNS, "UNUSED1", "UNUSED2"]
+    row = {"NUM_POSTE": "59000001", "AAAAMMJJ": "20240101", "TM": "1.5", "UNUSED1": "x"}
+    write_lot(tmp_path, "dept=59/period=latest-2025-2026/family=RR-T-Vent/snapshot=2026-01-01", columns, [row, {**row, "TM": "2.5"}])
+    daily = clean.daily_main(raw.read_daily_family(spark, str(tmp_path), "RR-T-Vent"))
+    text = plan(daily)
+    assert "UNUSED" not in text and "WindowGroupLimit" in text
+    assert [r.temperature for r in daily.collect()] == [2.5]
+
+
+def test_quantiles_put_values_in_order_in_bounded_parts(spark, monkeypatch):
+    from wxlake.operators import profile
+
+    monkeypatch.setattr(profile, "PART_ROWS", 50)
+    values = spark.range(40_000).select((F.col("id") * 7919 % 40_000).cast("double").alias("v"))
+    for frame in (values, values.select(F.when(F.col("v") < 30_000, 5.0).otherwise(F.col("v")).alias("v"))):
+        want = sorted(r.v for r in frame.collect())
+        found = {r.p: r.quantile for r in profile.exact_quantiles(frame, ["v"], (0.0, 0.5, 0.9, 1.0)).collect()}
+        assert found == {p: want[int(p * 39_999)] + (want[min(39_999, int(p * 39_999) + 1)] - want[int(p * 39_999)]) * (p * 39_999 % 1) for p in found}
+
+
+def test_unrounded_scores_are_not_sorted_in_one_task(spark):
+    from wxlake.operators import ranking
+
+    scored = spark.range(5000).select("id", (F.xxhash64("id") % 1000 / 7 + 200).alias("score"))
+    ranked = ranking.rank_by_score(scored, "score", "place")
+    rows = {r.id: r for r in ranked.collect()}
+    order = sorted((r.score for r in rows.values()), reverse=True)
+    assert all(r.place == order.index(r.score) + 1 for r in list(rows.values())[:200])

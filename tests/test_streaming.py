@@ -115,3 +115,35 @@ def test_kafka_needs_the_connector(spark):
     records = spark.createDataFrame([("Nice", 1.0)], "city string, t double")
     with pytest.raises(Exception, match="(?i)kafka"):
         live.publish(records, "localhost:1", "t")
+
+
+def test_old_versions_go_and_unfinished_ones_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "table")
+    columns = {"k": "int", "t": "int"}
+    for i in range(6):
+        spark.createDataFrame([(1, i), (10 + i, 0)], "k int, t int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    rows = live.file_source(spark, str(tmp_path / "in"), "k int, t int", files_per_batch=1)
+    live.upsert_latest(rows, path, str(tmp_path / "checkpoint"), ["k"], ["t"], available_now=True, keep=2)
+    assert live.versions(spark, path) == [4, 5]
+    spark.createDataFrame([(99, 99)], "k int, t int").write.parquet(f"{path}/version=6")
+    (tmp_path / "table" / "version=6" / "_SUCCESS").unlink()
+    found = live.current_version(spark, path, columns)
+    assert rows_of(found) == [(1, 5), *[(10 + i, 0) for i in range(6)]]
+    assert live.current_version(spark, str(tmp_path / "none"), columns).count() == 0
+
+
+def test_rows_dropped_by_the_watermark_are_counted(spark, tmp_path):
+    for i, moment in enumerate(("2024-01-02 10:00:00", "2024-01-02 12:00:00", "2024-01-01 00:00:00")):
+        spark.sql(f"SELECT TIMESTAMP'{moment}' AS timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    rows = live.file_source(spark, str(tmp_path / "in"), "timestamp timestamp", files_per_batch=1)
+    query = live.log_updates(live.message_rate(rows), str(tmp_path / "log"), str(tmp_path / "checkpoint"), available_now=True)
+    assert live.rows_dropped(query) == 1
+
+
+def test_log_by_day_is_pruned(spark, tmp_path):
+    data = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-01', 5), (1, DATE'2024-01-02', 6) AS t(k, d, t)")
+    data.write.parquet(str(tmp_path / "in"))
+    rows = live.file_source(spark, str(tmp_path / "in"), data.schema)
+    live.log_latest(rows, str(tmp_path / "log"), str(tmp_path / "checkpoint"), ["k", "d"], ["t"], available_now=True, day="d")
+    log = spark.read.schema(data.schema).parquet(str(tmp_path / "log")).filter("d = DATE'2024-01-02'")
+    assert log.count() == 1 and "PartitionFilters: [isnotnull(d" in log._jdf.queryExecution().toString()

@@ -10,10 +10,6 @@ import re
 
 from wxlake.checks.bindings import ARCHIVE_START, MAX_ELEVATION, MIN_HOURS, MIN_POINTS, WEATHER_CODES
 from wxlake.dimensions import ALERT_COLORS, AREA_CITY, FEATURED, PHENOMENA, values_sql
-from wxlake.functions.labels import (
-    MOOD_LOW, MOODS, NO_SYMBOL, RELIABILITIES, RELIABILITY_LOW, SCORE_COLOR_LOW, SCORE_COLORS,
-    SKIES, SKY_LOW, WEATHER_SYMBOLS,
-)
 
 
 def rnd(value: str, digits: int) -> str:
@@ -24,11 +20,6 @@ def clamp(value: str) -> str:
     return f"least(greatest({value}, 0e0), 1e0)"
 
 
-def steps(value: str, bounds, below: str) -> str:
-    cases = " ".join(f"WHEN {value} >= {b} THEN '{r}'" for b, r in reversed(bounds))
-    return f"CASE {cases} ELSE '{below}' END"
-
-
 def checked(value: str, code: str) -> str:
     return f"CASE WHEN {code} IS NULL OR {code} <> 2 THEN {value} END"
 
@@ -226,7 +217,7 @@ CTES: dict[str, str] = {
           {rnd('avg(diff_temp)', 2)} AS bias_temp, {rnd('avg(abs(diff_precip))', 2)} AS mae_precip,
           count(*) AS n_days_compared FROM compared GROUP BY city, dept""",
     "mesh": f"""
-        SELECT cast(o_custkey % 40 * 80 as integer) AS lambx, cast(o_custkey // 40 * 80 as integer) AS lamby,
+        SELECT cast(o_custkey % 40 * 80 + CASE WHEN o_orderkey % 13 = 0 THEN 4000 ELSE 0 END as integer) AS lambx, cast(o_custkey // 40 * 80 as integer) AS lamby,
           cast(o_orderdate as date) AS day, cast(date_trunc('month', o_orderdate) as date) AS first_day,
           cast(cast(o_orderkey % 40 - 10 as varchar) || '.5' as double) AS temp,
           o_orderkey, {snap('o_orderkey')} AS snapshot FROM orders""",
@@ -235,7 +226,7 @@ CTES: dict[str, str] = {
           cast(cast((c_custkey // 40 % 100 + 410) // 10 as varchar) || '.' ||
             cast((c_custkey // 40 % 100 + 410) % 10 as varchar) as double) AS lat,
           cast(cast(c_custkey % 40 // 10 as varchar) || '.' || cast(c_custkey % 40 % 10 as varchar) as double) AS lon
-        FROM customer WHERE c_acctbal >= 0""",
+        FROM customer""",
     "mesh_day": """
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lambx, lamby, day
           ORDER BY snapshot DESC, o_orderkey DESC) AS rn FROM mesh) WHERE rn = 1""",
@@ -362,8 +353,18 @@ OBS_COLUMNS = (
     "station_id, obs_date, temperature, temp_min, temp_max, precipitation_mm, humidity_pct, "
     "pressure_hpa, wind_speed_ms, wind_gust_ms, sunshine_min, frost_min, fog, snowfall_cm"
 )
-SCORE_COLOR = steps("gloom", SCORE_COLORS, SCORE_COLOR_LOW)
-MOOD = steps("gloom", MOODS, MOOD_LOW)
-SKY = steps("m", SKIES, SKY_LOW)
-RELIABILITY = steps("mae_temp", RELIABILITIES, RELIABILITY_LOW)
-SYMBOL = steps("weather_code", WEATHER_SYMBOLS, NO_SYMBOL)
+# Display bounds, written out so that the twins don't share the tables under test.
+SCORE_COLOR = """CASE WHEN gloom >= 65 THEN '#6b4fae' WHEN gloom >= 45 THEN '#ec835a'
+  WHEN gloom >= 25 THEN '#fab219' ELSE '#0ca30c' END"""
+MOOD = """CASE WHEN gloom >= 80 THEN '🫠 misère totale' WHEN gloom >= 60 THEN '🌧️ sortez les plaids'
+  WHEN gloom >= 40 THEN '😶‍🌫️ bof bof' WHEN gloom >= 20 THEN '🌤️ ça passe' ELSE '☀️ tout va bien !' END"""
+SKY = """CASE WHEN m >= 65 THEN 'sky-misere' WHEN m >= 45 THEN 'sky-gris'
+  WHEN m >= 25 THEN 'sky-nuageux' ELSE 'sky-soleil' END"""
+RELIABILITY = "CASE WHEN mae_temp >= 1.5 THEN 'douteux' WHEN mae_temp >= 0.5 THEN 'correct' ELSE 'fiable' END"
+SYMBOL = """CASE WHEN weather_code >= 82 THEN '⛈️' WHEN weather_code >= 80 THEN '🌧️' WHEN weather_code >= 75 THEN '❄️'
+  WHEN weather_code >= 71 THEN '🌨️' WHEN weather_code >= 61 THEN '🌧️' WHEN weather_code >= 55 THEN '🌧️'
+  WHEN weather_code >= 51 THEN '🌦️' WHEN weather_code >= 45 THEN '🌫️' WHEN weather_code >= 3 THEN '☁️'
+  WHEN weather_code >= 2 THEN '⛅' WHEN weather_code >= 1 THEN '🌤️' WHEN weather_code >= 0 THEN '☀️' ELSE '🌡️' END"""
+MONTH_NAMES = """['janvier', 'février', 'mars', 'avril', 'mai', 'juin', 'juillet', 'août', 'septembre',
+  'octobre', 'novembre', 'décembre']"""
+BADGE_SEEN, BADGE_NOT_SEEN = "✔ vigilance ", "✖ non vu par la vigilance"

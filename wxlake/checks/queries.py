@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from wxlake.functions import dates, geo, labels, numbers
 from wxlake.operators import (
     alerts, clean, compare, dedup, episodes, lots, maps, profile, ranking, rollup, serve,
 )
+from wxlake.plans import lake as jobs
 from wxlake.session import fresh_folder, pin_session
 from wxlake.sources import layers, raw
 from wxlake.streaming import live as streams
@@ -163,11 +165,14 @@ def _(spark, sf):
     return layers.counts_by(rows, "dept").withColumn("n_skipped", F.lit(len(paths) - len(found)))
 
 
-@query("empty_on_missing", "SELECT DISTINCT obs_date FROM obs")
+@query("empty_on_missing", "SELECT DISTINCT obs_date, cast(NULL as varchar) AS note FROM obs")
 def _(spark, sf):
-    path = _layer(spark, sf)
-    found = layers.first_present(spark, [f"{path}-dates", path], {"obs_date": "date"})
-    return rollup.distinct_days(found)
+    """The first table is absent, the second empty, the third has the rows and lacks a column."""
+    path, empty = _layer(spark, sf), fresh_folder(spark, "empty")
+    layers.write_small_table(layers.empty_table(spark, {"obs_date": "date", "note": "string"}), empty)
+    found = layers.first_present(
+        spark, [f"{path}-dates", empty, path, empty], {"obs_date": "date", "note": "string"})
+    return found.distinct()
 
 
 def _event_stream(spark, sf):
@@ -192,6 +197,25 @@ def _(spark, sf):
 
 
 @query("complete_lots_only", """
+    SELECT station_id, strftime(obs_date, '%Y%m%d') AS day, snapshot, l_orderkey FROM raw
+    WHERE (cast(dept as integer) + cast(substr(snapshot, 10) as integer)) % 2 = 0""")
+def _(spark, sf):
+    """Every second lot has its marker, by area and snapshot."""
+    root = b.stage_daily(spark, sf)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop_path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    family = "RR-T-Vent"
+    for lot in files.globStatus(hadoop_path(f"{root}/dept=*/period=*/family={family}/snapshot=*")):
+        folder = lot.getPath().toString()
+        area, snapshot = (re.search(f"{k}=([^/]+)", folder)[1] for k in ("dept", "snapshot"))
+        if (int(area) + int(snapshot[-1])) % 2 == 0:
+            files.create(hadoop_path(f"{folder}/{raw.MARKER}"), True).close()
+    rows = raw.read_daily_family(spark, root, family, b.MAIN_TEXT, complete_only=True)
+    return b.typed_ties(rows, b.DAILY_TIES).select(
+        F.col("NUM_POSTE").alias("station_id"), F.col("AAAAMMJJ").alias("day"), "snapshot", "l_orderkey")
+
+
+@query("keyed_lots", """
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
     WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
 def _(spark, sf):
@@ -342,7 +366,7 @@ def _(spark, sf):
       THEN cast(o_orderkey % 25 + o_orderkey % 3 as double) END AS precip_mm FROM orders""")
 def _(spark, sf):
     rows = b.grid_text(spark, sf, "daily")
-    both = numbers.decimal_comma(F.col("PRELIQ")) + numbers.decimal_comma(F.col("PRENEI"))
+    both = clean.sum_of_phases(F.col("PRELIQ"), F.col("PRENEI"))
     return rows.select("o_orderkey", both.alias("precip_mm"))
 
 
@@ -449,6 +473,13 @@ def _(spark, sf):
     return serve.month_ranking(ranking.monthly_ranking(_daily(spark, sf)))
 
 
+@query("given_month", """
+    SELECT year, month, dept, city, mean_gloom, mean_temp, rain_total_mm, mean_sun_min, n_days, gloom_rank
+    FROM ranking WHERE year = 1995 AND month = 7""")
+def _(spark, sf):
+    return serve.month_ranking(ranking.monthly_ranking(_daily(spark, sf)), 1995, 7)
+
+
 @query("echeance_filter", """
     SELECT DISTINCT vig_date, dept FROM alert_orders WHERE term = 'J' AND dept <> 'FRA'""")
 def _(spark, sf):
@@ -468,6 +499,13 @@ def _(spark, sf):
     return serve.days_by_year(b.observations(spark, sf))
 
 
+@query("days_of_year", """
+    SELECT cast(year(obs_date) as integer) AS year, min(obs_date) AS first_day, max(obs_date) AS last_day,
+      count(DISTINCT obs_date) AS n_days FROM obs WHERE year(obs_date) = 1995 GROUP BY 1""")
+def _(spark, sf):
+    return serve.days_of_year(b.observations(spark, sf), 1995)
+
+
 @query("last_batch", """
     SELECT event_id, city, temperature_2m FROM messages
     WHERE strftime(ts, '%Y-%m-%d') = (SELECT max(strftime(ts, '%Y-%m-%d')) FROM messages)""")
@@ -599,6 +637,27 @@ def _(spark, sf):
     return _planned(spark, sf)
 
 
+@query("hourly_lots", f"""
+    SELECT DISTINCT f.dept, cast(e.ts as date) AS snapshot FROM events e JOIN feat f ON true""")
+def _(spark, sf):
+    """The plan of one run day, for each day that has events."""
+    planned = lots.plan_hourly_lots(spark, date(2025, 6, 30)).select("dept")
+    days = b.table(spark, sf, "events").select(F.to_date("ts").alias("snapshot")).distinct()
+    areas = planned.agg(F.collect_set("dept").alias("depts")).scalar()
+    return days.select(F.explode(areas).alias("dept"), "snapshot")
+
+
+@query("grid_lots", """
+    WITH last AS (SELECT cast(max(o_orderdate) as date) AS d, cast(min(o_orderdate) as date) AS f FROM orders)
+    SELECT 'mens' AS kind, cast(y as integer) AS year, CASE WHEN y = year(d) THEN d END AS snapshot
+    FROM (SELECT d, unnest(range(year(f), year(d) + 1)) AS y FROM last)
+    UNION ALL SELECT 'grille', NULL, NULL UNION ALL SELECT 'quot_latest', NULL, d FROM last""")
+def _(spark, sf):
+    first, last = b.table(spark, sf, "orders").agg(
+        F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    return lots.plan_grid_lots(spark, first.year, last)
+
+
 @query("anti_join_lots", f"""
     SELECT * FROM ({ORDERED_LOTS}) p WHERE NOT EXISTS (
       SELECT 1 FROM supplier s WHERE {o.area('s_nationkey')} = p.dept AND p.family = 'RR-T-Vent'
@@ -780,15 +839,17 @@ def _(spark, sf):
     )
 
 
-@query("table_freshness")
+@query("table_freshness", """
+    SELECT m AS minutes, count(*) AS n_rows, CASE WHEN m <= 20 THEN 'fresh' WHEN m <= 90 THEN 'late' ELSE 'stale' END AS freshness
+    FROM (SELECT l_linenumber * 25 AS m FROM lineitem) GROUP BY m""")
 def _(spark, sf):
-    """Write time of the stored table and its badge; depends on the clock."""
-    stored = layers.read_layer(spark, _layer(spark, sf), LAYER_SCHEMA)
-    age = (F.unix_seconds(F.current_timestamp()) - F.unix_seconds("updated_at")) / 60
-    return layers.newest_write(stored).select(
-        F.col("updated_at").isNotNull().alias("was_written"),
-        labels.freshness(F.round(age)).alias("freshness"),
-    )
+    """Badge of the stored table as seen some minutes after its newest write."""
+    written = layers.newest_write(spark, _layer(spark, sf)).scalar()
+    looks = b.table(spark, sf, "lineitem").groupBy((F.col("l_linenumber") * 25).alias("minutes")).agg(
+        F.count("*").alias("n_rows"))
+    seen = looks.withColumn("now", written + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minutes")))
+    age = (F.unix_seconds("now") - F.unix_seconds(written)) / 60
+    return seen.select("minutes", "n_rows", labels.freshness(F.round(age)).alias("freshness"))
 
 
 PROFILED = ("temperature", "temp_min", "temp_max", "precipitation_mm", "sunshine_min", "humidity_pct", "fog")
@@ -836,14 +897,26 @@ def _(spark, sf):
     return total.unionByName(profile.distinct_count(rows, "station_id", ["dept"]))
 
 
+@query("approx_distinct_count", """
+    SELECT dept, count(DISTINCT station_id) > 0 AS some, true AS near FROM obs GROUP BY dept""")
+def _(spark, sf):
+    """The approximate count is within a fifth of the exact one."""
+    rows = b.observations(spark, sf)
+    exact = profile.distinct_count(rows, "station_id", ["dept"])
+    found = profile.distinct_count(rows, "station_id", ["dept"], approx=True).withColumnRenamed("n_distinct", "n_near")
+    off = F.abs(F.col("n_near") - F.col("n_distinct"))
+    return exact.join(found, "dept").select("dept", (F.col("n_near") > 0).alias("some"), (off * 5 <= F.col("n_distinct")).alias("near"))
+
+
 @query("area_month_profile", f"""
-    SELECT dept, {rnd('avg(temperature)', 1)} AS mean_temp, {rnd('min(temp_min)', 1)} AS lowest_temp,
-      {rnd('max(temp_max)', 1)} AS highest_temp, {rnd('avg(precipitation_mm) * 31', 1)} AS rain_mm,
+    SELECT year(obs_date)::integer AS year, month(obs_date)::integer AS month, dept,
+      {rnd('avg(temperature)', 1)} AS mean_temp, {rnd('min(temp_min)', 1)} AS lowest_temp,
+      {rnd('max(temp_max)', 1)} AS highest_temp,
+      {rnd('avg(precipitation_mm) * day(last_day(any_value(obs_date)))', 1)} AS rain_mm,
       sum(CASE WHEN coalesce(frost_min, 0) > 0 THEN 1 ELSE 0 END)::bigint AS frost_days
-    FROM obs WHERE obs_date BETWEEN date '1998-01-01' AND date '1998-01-31' GROUP BY dept""")
+    FROM obs GROUP BY 1, 2, 3""")
 def _(spark, sf):
-    month = layers.date_range(b.observations(spark, sf), "obs_date", date(1998, 1, 1), date(1998, 1, 31))
-    return profile.area_month_profile(month)
+    return profile.area_month_profile(b.observations(spark, sf))
 
 
 @query("min_max_nunique", """
@@ -967,6 +1040,25 @@ def _(spark, sf):
     return _plain_time(status, "obs_time").orderBy("gloom_rank_live", "city")
 
 
+@query("live_cycle", f"""
+    SELECT station_id AS city, dept, {STATUS},
+      cast(rank() OVER (ORDER BY gloom_live DESC) as integer) AS gloom_rank_live FROM live_last""")
+def _(spark, sf):
+    """Two live cycles: all messages but those of the last month and late polls, then these."""
+    lake = jobs.Lake(fresh_folder(spark, "lake"))
+    lines = b.live_messages(spark, sf).withColumn("ingest_date", F.to_date("timestamp"))
+    last = lines.agg(F.max("ingest_date")).first()[0]
+    since = (last.replace(day=1) - timedelta(days=1)).replace(day=1)
+    text = F.to_json(F.struct(*schemas.LIVE_MESSAGE, "event_id")).alias("value")
+    new = F.col("ingest_date") >= F.lit(since)
+    for part in (~new | (F.col("event_id") % 5 == 0), new & (F.col("event_id") % 5 != 0)):
+        lines.filter(part).select(text, "ingest_date").write.mode("append").partitionBy("ingest_date").text(lake.raw("live"))
+        first = layers.optional_table(spark, lake.business("live_status")) is None
+        jobs.build_observations(spark, lake, ("live",), None if first else since)
+        jobs.build_live_tables(spark, lake, since=None if first else since)
+    return _plain_time(spark.read.parquet(lake.business("live_status")), "obs_time")
+
+
 @query("sorted_reliability", f"""
     SELECT *, CASE WHEN mae_temp IS NOT NULL THEN {o.RELIABILITY} END AS badge FROM reliability""")
 def _(spark, sf):
@@ -999,7 +1091,7 @@ def _(spark, sf):
 
 @query("period_title", f"""
     SELECT period_type, period_label, CASE WHEN period_type = 'month' THEN
-      list_extract({o.texts(labels.MONTHS)}, cast(split_part(period_label, '-', 2) as integer)) || ' '
+      list_extract({o.MONTH_NAMES}, cast(split_part(period_label, '-', 2) as integer)) || ' '
         || split_part(period_label, '-', 1) ELSE period_label END AS title, count(*) AS n_areas
     FROM periods GROUP BY 1, 2, 3""")
 def _(spark, sf):
@@ -1234,9 +1326,9 @@ def _(spark, sf):
 
 
 @query("episode_badge", f"""
-    SELECT dept, type, start_date, CASE status WHEN 'confirmed' THEN '{labels.BADGE_SEEN}' || coalesce(max_color, '')
+    SELECT dept, type, start_date, CASE status WHEN 'confirmed' THEN '{o.BADGE_SEEN}' || coalesce(max_color, '')
         || ' (' || cast(cast({rnd('coverage_rate * 100', 0)} as integer) as varchar) || ' %)'
-      WHEN 'not_confirmed' THEN '{labels.BADGE_NOT_SEEN}' ELSE '' END AS badge,
+      WHEN 'not_confirmed' THEN '{o.BADGE_NOT_SEEN}' ELSE '' END AS badge,
       CASE type WHEN 'wind_gust' THEN 'rafales ' || cast(cast({rnd('intensity * 3.6e0', 0)} as integer) as varchar) || ' km/h'
         WHEN 'rain_spell' THEN regexp_replace(cast(cast(intensity as decimal(18,1)) as varchar), '\\.0$', '') || ' mm cumulés'
         ELSE 'min ' || regexp_replace(cast(cast(intensity as decimal(18,1)) as varchar), '\\.0$', '') || '°C' END AS detail
@@ -1293,7 +1385,7 @@ def _(spark, sf):
 def _(spark, sf):
     items, orders = b.table(spark, sf, "lineitem"), b.table(spark, sf, "orders")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.date_diff("l_shipdate", "o_orderdate").alias("days")
+        "l_orderkey", "l_linenumber", "l_partkey", dates.days_between("o_orderdate", "l_shipdate").alias("days")
     )
 
 
@@ -1415,7 +1507,7 @@ def _(spark, sf):
 
 @query("json_field", "SELECT event_id, cast(json_extract(props, '$.k') as integer) AS k FROM events")
 def _(spark, sf):
-    return b.table(spark, sf, "events").select("event_id", F.from_json("props", "k INT")["k"].alias("k"))
+    return b.table(spark, sf, "events").select("event_id", raw.json_field("props", "k", "INT").alias("k"))
 
 
 @query("bom_strip", """
@@ -1423,7 +1515,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Every third line is blank, every other third starts with a byte-order mark."""
     event = F.col("event_id")
-    body = F.concat(F.lit('{"id": '), event.cast("string"), F.lit(", "), F.substring("props", 2, 1000))
+    body = F.concat(F.lit('{"id": '), event.cast("string"), F.lit(", "), F.expr("substring(props, 2)"))
     line = F.when(event % 3 == 0, "  ").when(event % 3 == 1, F.concat(F.lit("﻿"), body)).otherwise(body)
     clean_lines = raw.strip_bom(b.table(spark, sf, "events").select(line.alias("value")))
     parsed = clean_lines.select(F.from_json("value", "id BIGINT, k INT").alias("v"))
@@ -1457,13 +1549,24 @@ def _(spark, sf):
 # -- streaming -----------------------------------------------------------------
 
 
-def _message_stream(spark, sf) -> DataFrame:
-    """Staged message lines as a stream of value and timestamp."""
-    lines = streams.file_source(spark, f"{b.stage_messages(spark, sf)}/*", "value string", "text")
+def _lines_as_messages(lines: DataFrame) -> DataFrame:
     sent = F.get_json_object("value", "$.ingested_at").cast("timestamp")
     return lines.select("value", sent.alias("timestamp"))
 
 
+def _message_stream(spark, sf) -> DataFrame:
+    """Staged message lines as a stream of value and timestamp.
+
+    The lines are dealt over eight files without regard to time, two to a batch, so
+    each later batch brings late messages of the days before.
+    """
+    def write(folder):
+        lines = spark.read.text(f"{b.stage_messages(spark, sf)}/*")
+        lines.repartition(8, F.xxhash64("value")).write.text(folder)
+    dealt = b.staged(spark, sf, "dealt-messages", write)
+    return _lines_as_messages(streams.file_source(spark, dealt, "value string", "text", files_per_batch=2))
+
+
 @query("stream_land_raw", """
     SELECT cast(ts as date) AS ingest_date, count(*) AS n_rows FROM events GROUP BY 1""")
 def _(spark, sf):
@@ -1475,9 +1578,15 @@ def _(spark, sf):
 
 @query("stream_checkpoint_resume", "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_messages FROM events")
 def _(spark, sf):
+    """Messages come in thirds; the stream starts anew after each, and once more without any."""
     folder = fresh_folder(spark, "resumed")
-    for _restart in range(2):  # the second start finds nothing new
-        streams.land_raw(_message_stream(spark, sf), f"{folder}/raw", f"{folder}/checkpoint", available_now=True)
+    lines = spark.read.text(f"{b.stage_messages(spark, sf)}/*")
+    for third in (0, 1, 2, None):
+        if third is not None:
+            part = F.pmod(F.xxhash64("value"), F.lit(3)) == third
+            lines.filter(part).coalesce(2).write.mode("append").text(f"{folder}/inbox")
+        inbox = streams.file_source(spark, f"{folder}/inbox", "value string", "text", files_per_batch=1)
+        streams.land_raw(_lines_as_messages(inbox), f"{folder}/raw", f"{folder}/checkpoint", available_now=True)
     landed = spark.read.text(f"{folder}/raw")
     event = F.get_json_object("value", "$.event_id").cast("bigint")
     return landed.agg(F.count("*").alias("n_rows"), F.count_distinct(event).alias("n_messages"))
@@ -1524,7 +1633,9 @@ def _(spark, sf):
     folder = fresh_folder(spark, "log")
     keys, newest = ["station_id", "obs_time"], ["ingested_at"]
     rows = streams.live_rows(_message_stream(spark, sf)).select(*keys, *newest, "gloom_live")
-    streams.log_latest(rows, f"{folder}/log", f"{folder}/checkpoint", keys, newest, available_now=True)
+    rows = rows.withColumn("obs_day", F.to_date("obs_time"))
+    streams.log_latest(
+        rows, f"{folder}/log", f"{folder}/checkpoint", keys, newest, available_now=True, day="obs_day")
     log = spark.read.schema(schemas.ddl(dict(rows.dtypes))).parquet(f"{folder}/log")
     latest = dedup.latest_per_key(log.select(*rows.columns), keys, newest)
     return _plain_time(latest.select(*keys, "gloom_live"), "obs_time")
@@ -1535,8 +1646,8 @@ def _(spark, sf):
     FROM events GROUP BY 1""")
 def _(spark, sf):
     folder = fresh_folder(spark, "rate")
-    events = _event_stream(spark, sf).select(F.col("ts").cast("timestamp").alias("timestamp"))
-    rate = streams.message_rate(events)
+    # The dealt files are years out of order, and nothing may count as too late.
+    rate = streams.message_rate(_message_stream(spark, sf), late="36500 days")
     streams.log_updates(rate, f"{folder}/updates", f"{folder}/checkpoint", available_now=True)
     changes = spark.read.schema(schemas.ddl(dict(rate.dtypes))).parquet(f"{folder}/updates")
     # Counts of a window only grow, so its last update is its largest.

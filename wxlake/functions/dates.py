@@ -48,6 +48,11 @@ def met_day_rain(ts: Column) -> Column:
     return met_day(ts, RAIN_DAY_STARTS)
 
 
+def days_between(first: Column | str, last: Column | str) -> Column:
+    """Whole days from one day to another."""
+    return F.date_diff(last, first)
+
+
 def quarter_floor(ts: Column) -> Column:
     """Start of the quarter hour."""
     return F.date_trunc("hour", ts) + F.make_dt_interval(

@@ -53,25 +53,38 @@ def _station_columns() -> list[Column]:
     ]
 
 
-def _newest_daily(raw: DataFrame, tiebreak: Sequence[str] | None) -> DataFrame:
-    dated = raw.withColumn("obs_date", dates.parse_day(F.col("AAAAMMJJ")))
-    dated = dated.filter(F.col("obs_date").isNotNull())
-    return latest_per_key(dated, ["NUM_POSTE", "obs_date"], ["snapshot"], tiebreak)
+def _newest(
+    raw: DataFrame, keys: Sequence[str], columns: Sequence[Column], newest: Sequence[str],
+    tiebreak: Sequence[str] | None,
+) -> DataFrame:
+    """Cleaned columns of the newest row per key.
+
+    Rows are projected first, so columns of the files that the model does not
+    have are neither read nor sorted. Columns that only order the rows are dropped.
+    """
+    order = [*newest, *(tiebreak or ())]
+    rows = raw.select(*columns, *[F.col(c).alias(f"_{c}") for c in order])
+    rows = rows.filter(F.col(keys[-1]).isNotNull())
+    ties = None if tiebreak is None else [f"_{c}" for c in tiebreak]
+    return latest_per_key(rows, keys, [f"_{c}" for c in newest], ties).drop(*[f"_{c}" for c in order])
+
+
+def _daily_key() -> Column:
+    return dates.parse_day(F.col("AAAAMMJJ")).alias("obs_date")
 
 
 def daily_main(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """First daily family, newest snapshot per station and day."""
-    return _newest_daily(raw, tiebreak).select(
-        *_station_columns(), "obs_date", *checked_measures(DAILY_MAIN_MEASURES)
-    )
+    columns = [*_station_columns(), _daily_key(), *checked_measures(DAILY_MAIN_MEASURES)]
+    return _newest(raw, ["station_id", "obs_date"], columns, ["snapshot"], tiebreak)
 
 
 def daily_other(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Second daily family, newest snapshot per station and day."""
-    return _newest_daily(raw, tiebreak).select(
-        F.col("NUM_POSTE").alias("station_id"), "obs_date",
-        *checked_measures(DAILY_OTHER_MEASURES),
-    )
+    columns = [
+        F.col("NUM_POSTE").alias("station_id"), _daily_key(), *checked_measures(DAILY_OTHER_MEASURES),
+    ]
+    return _newest(raw, ["station_id", "obs_date"], columns, ["snapshot"], tiebreak)
 
 
 def join_families(main: DataFrame, other: DataFrame) -> DataFrame:
@@ -127,8 +140,9 @@ def live_measures(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def live_observations(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Live messages to the common model, newest poll per city and quarter hour."""
     timed = raw.withColumn("obs_time", dates.parse_quarter(F.col("time")))
-    timed = timed.filter(F.col("obs_time").isNotNull())
-    return live_measures(latest_per_key(timed, ["city", "obs_time"], ["ingested_at"], tiebreak))
+    order = ["ingested_at", *(tiebreak or ())]
+    rows = live_measures(timed.filter(F.col("obs_time").isNotNull()), keep=order)
+    return latest_per_key(rows, ["station_id", "obs_time"], ["ingested_at"], tiebreak).drop(*order)
 
 
 def union_sources(*parts: DataFrame) -> DataFrame:
@@ -141,17 +155,12 @@ def union_sources(*parts: DataFrame) -> DataFrame:
 
 def hourly_observations(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Raw hourly files to the hourly table, newest snapshot per station and hour."""
-    timed = raw.withColumn("obs_ts", dates.parse_hour(F.col("AAAAMMJJHH")))
-    timed = timed.filter(F.col("obs_ts").isNotNull())
-    newest = latest_per_key(timed, ["NUM_POSTE", "obs_ts"], ["snapshot"], tiebreak)
-    return schemas.conform(
-        newest.select(
-            *_station_columns(),
-            area_of_station(F.col("NUM_POSTE")).alias("dept"),
-            "obs_ts", *checked_measures(HOURLY_MEASURES),
-        ),
-        schemas.OBSERVATIONS_HOURLY,
-    )
+    columns = [
+        *_station_columns(), area_of_station(F.col("NUM_POSTE")).alias("dept"),
+        dates.parse_hour(F.col("AAAAMMJJHH")).alias("obs_ts"), *checked_measures(HOURLY_MEASURES),
+    ]
+    newest = _newest(raw, ["station_id", "obs_ts"], columns, ["snapshot"], tiebreak)
+    return schemas.conform(newest, schemas.OBSERVATIONS_HOURLY)
 
 
 def grid_reference(raw: DataFrame) -> DataFrame:
@@ -164,43 +173,37 @@ def grid_reference(raw: DataFrame) -> DataFrame:
     )
 
 
-def _newest_mesh(raw: DataFrame, tiebreak: Sequence[str] | None) -> DataFrame:
-    return latest_per_key(raw, ["LAMBX", "LAMBY", "DATE"], ["snapshot"], tiebreak).withColumns(
-        {
-            "lambx": F.col("LAMBX").try_cast("int"),
-            "lamby": F.col("LAMBY").try_cast("int"),
-        }
-    )
+def _newest_mesh(
+    raw: DataFrame, kind: str, day: Column, measures: Sequence[Column], tiebreak: Sequence[str] | None
+) -> DataFrame:
+    """Newest values per mesh and date; rows without a readable one are dropped."""
+    columns = [
+        F.col("LAMBX").try_cast("int").alias("lambx"), F.col("LAMBY").try_cast("int").alias("lamby"),
+        day.alias("obs_date"), *measures,
+    ]
+    newest = _newest(raw, ["lambx", "lamby", "obs_date"], columns, ["snapshot"], tiebreak)
+    return schemas.conform(newest.withColumn("kind", F.lit(kind)), schemas.GRID)
 
 
 def grid_monthly(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Monthly mesh values, dated on the first of the month."""
-    return schemas.conform(
-        _newest_mesh(raw, tiebreak).select(
-            F.lit("monthly").alias("kind"), "lambx", "lamby",
-            dates.parse_month(F.col("DATE")).alias("obs_date"),
-            decimal_comma(F.col("T")).alias("temp"),
-            decimal_comma(F.col("PRETOTM")).alias("precip_mm"),
-        ),
-        schemas.GRID,
-    )
+    measures = [decimal_comma(F.col("T")).alias("temp"), decimal_comma(F.col("PRETOTM")).alias("precip_mm")]
+    return _newest_mesh(raw, "monthly", dates.parse_month(F.col("DATE")), measures, tiebreak)
+
+
+def sum_of_phases(liquid: Column, solid: Column) -> Column:
+    """Precipitation as liquid plus solid part, texts with decimal commas; NULL if one is missing."""
+    return decimal_comma(liquid) + decimal_comma(solid)
 
 
 def grid_daily(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Daily mesh values; precipitation is the liquid plus the solid part."""
-    liquid, solid = decimal_comma(F.col("PRELIQ")), decimal_comma(F.col("PRENEI"))
-    return schemas.conform(
-        _newest_mesh(raw, tiebreak).select(
-            F.lit("daily").alias("kind"), "lambx", "lamby",
-            dates.parse_day(F.col("DATE")).alias("obs_date"),
-            decimal_comma(F.col("T")).alias("temp"),
-            (liquid + solid).alias("precip_mm"),
-            decimal_comma(F.col("FF")).alias("wind_ms"),
-            decimal_comma(F.col("HU")).alias("humidity_pct"),
-            decimal_comma(F.col("SSI")).alias("ssi"),
-        ),
-        schemas.GRID,
-    )
+    measures = [
+        decimal_comma(F.col("T")).alias("temp"), sum_of_phases(F.col("PRELIQ"), F.col("PRENEI")).alias("precip_mm"),
+        decimal_comma(F.col("FF")).alias("wind_ms"), decimal_comma(F.col("HU")).alias("humidity_pct"),
+        decimal_comma(F.col("SSI")).alias("ssi"),
+    ]
+    return _newest_mesh(raw, "daily", dates.parse_day(F.col("DATE")), measures, tiebreak)
 
 
 def grid_table(values: DataFrame, reference: DataFrame) -> DataFrame:

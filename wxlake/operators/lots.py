@@ -27,7 +27,16 @@ def check_range(start: date, end: date) -> None:
         raise ValueError(f"end {end} is before start {start}")
 
 
-def overlapping_periods(start: Column, end: Column, run_day: Column) -> Column:
+def periods_between(start: date | None, end: date | None, periods: Sequence[tuple] = PERIODS) -> list[str]:
+    """Names of the file periods that cover part of a range of days, each end optional."""
+    first = start.year if start else 0
+    last = end.year if end else 9999
+    return [name for name, begin, stop, _ in periods if first <= stop and last >= begin]
+
+
+def overlapping_periods(
+    start: Column, end: Column, run_day: Column, periods: Sequence[tuple] = PERIODS
+) -> Column:
     """Array of the file periods that cover part of a range of days.
 
     The cumulative period is a new snapshot each day, never after the run day.
@@ -40,12 +49,12 @@ def overlapping_periods(start: Column, end: Column, run_day: Column) -> Column:
                 (F.least(end, run_day) if snapshots else F.lit(None).cast("date")).alias("snapshot"),
             ),
         )
-        for name, first, last, snapshots in PERIODS
+        for name, first, last, snapshots in periods
     ]
     return F.filter(F.array(*candidates), lambda p: p.isNotNull())
 
 
-def daily_lots(requests: DataFrame) -> DataFrame:
+def daily_lots(requests: DataFrame, periods: Sequence[tuple] = PERIODS) -> DataFrame:
     """Requests (dept, start, end, run_day) to lots: area, family, period, snapshot.
 
     Families and periods are constant arrays, so each request is expanded in its
@@ -61,20 +70,22 @@ def daily_lots(requests: DataFrame) -> DataFrame:
         checked.select(
             "dept",
             F.explode(F.array(*[F.lit(f) for f in FAMILIES])).alias("family"),
-            overlapping_periods(F.col("start"), F.col("end"), F.col("run_day")).alias("periods"),
+            overlapping_periods(F.col("start"), F.col("end"), F.col("run_day"), periods).alias("periods"),
         )
         .select("dept", "family", F.inline("periods"))
         .distinct()
     )
 
 
-def plan_daily_lots(spark: SparkSession, start: date, end: date, run_day: date) -> DataFrame:
+def plan_daily_lots(
+    spark: SparkSession, start: date, end: date, run_day: date, periods: Sequence[tuple] = PERIODS
+) -> DataFrame:
     """Lots of all areas for one range of days."""
     check_range(start, end)
     requests = dimensions.areas(spark).select(
         "dept", F.lit(start).alias("start"), F.lit(end).alias("end"), F.lit(run_day).alias("run_day")
     )
-    return daily_lots(requests)
+    return daily_lots(requests, periods)
 
 
 def plan_hourly_lots(spark: SparkSession, run_day: date) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wxlake.functions.numbers import stable_round
+from wxlake.session import fresh_folder
+
+# Rows of a part that one task puts in order.
+PART_ROWS = 100_000
 
 
 def _long(df: DataFrame, values: dict) -> DataFrame:
@@ -40,9 +44,10 @@ def min_max_distinct(df: DataFrame, column: str, keys: Sequence[str]) -> DataFra
     )
 
 
-def area_month_profile(obs: DataFrame, days: int = 31) -> DataFrame:
-    """Month profile per area; rain is the mean day times the days of the month."""
-    return obs.groupBy("dept").agg(
+def area_month_profile(obs: DataFrame) -> DataFrame:
+    """Profile per area and month; rain is the mean day times the days of the month."""
+    days = F.day(F.last_day(F.make_date("year", "month", F.lit(1))))
+    return _with_month(obs).groupBy("year", "month", "dept").agg(
         stable_round(F.avg("temperature"), 1).alias("mean_temp"),
         stable_round(F.min("temp_min"), 1).alias("lowest_temp"),
         stable_round(F.max("temp_max"), 1).alias("highest_temp"),
@@ -51,6 +56,35 @@ def area_month_profile(obs: DataFrame, days: int = 31) -> DataFrame:
     )
 
 
+def _with_month(obs: DataFrame) -> DataFrame:
+    return obs.withColumns({"year": F.year("obs_date"), "month": F.month("obs_date")})
+
+
+def _below(rows: DataFrame, label: str) -> DataFrame:
+    """``below`` plus the counts ``n`` of all smaller values of the same range.
+
+    Rows are dealt by range into parts of about ``PART_ROWS`` and written with the
+    number of their part, as the bounds are sampled. A part is summed by itself, and
+    the parts' totals give its offset, so no task sorts a whole range.
+    """
+    spark = rows.sparkSession
+    path = fresh_folder(spark, label)
+    rows.write.parquet(f"{path}/rows")
+    rows = spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    parts = max(1, -(-rows.count() // PART_ROWS))
+    dealt = rows.repartitionByRange(parts, "column", "range", "value").withColumn("part", F.spark_partition_id())
+    dealt.write.parquet(f"{path}/dealt")
+    dealt = spark.read.schema(dealt.schema).parquet(f"{path}/dealt")
+    earlier = Window.unboundedPreceding, -1
+    inside = Window.partitionBy("column", "range", "part").orderBy("value").rowsBetween(*earlier)
+    before = Window.partitionBy("column", "range").orderBy("part").rowsBetween(*earlier)
+    sums = dealt.groupBy("column", "range", "part").agg(F.sum("n").alias("part_n"))
+    offsets = sums.select("column", "range", "part", F.coalesce(F.sum("part_n").over(before), F.lit(0)).alias("offset"))
+    summed = dealt.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return summed.join(offsets, ["column", "range", "part"]).withColumn(
+        "below", F.col("below") + F.col("offset") + F.col("inside")).drop("offset", "inside", "part")
+
+
 def _long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
@@ -66,8 +100,8 @@ def exact_quantiles(
     Values are counted first, so a frequent value is one row. Approximate
     quantiles a little below and above each wanted one cut the values into
     ranges; exact counts per range tell which ones hold the wanted positions, and
-    only those are sorted. They hold about one row in a thousand, and no task ever
-    holds all values of a column. A chosen range is known by its end values and
+    only those, about one row in a thousand, are put in order, in parts of
+    bounded size. A chosen range is known by its end values and
     the exact count below it, so approximate cuts never change a result.
     """
     long = _long_values(df, columns)
@@ -111,12 +145,12 @@ def exact_quantiles(
         F.col("upto").isNull() | (F.col("value") <= F.col("upto"))
     )
     # At most two ranges per column and probability on the broadcast side.
-    candidates = counted.join(F.broadcast(chosen), "column").filter(inside)
-    in_range = Window.partitionBy("column", "above").orderBy("value")
-    upto_here = F.sum("n").over(in_range.rowsBetween(Window.unboundedPreceding, 0))
-    placed = candidates.withColumn("last", F.col("below") + upto_here - 1).withColumn(
-        "first", F.col("last") - F.col("n") + 1
+    candidates = counted.join(F.broadcast(chosen), "column").filter(inside).select(
+        "column", F.coalesce("above", F.lit(float("-inf"))).alias("range"), "value", "n", "below", "wanted"
     )
+    placed = _below(candidates, "quantiles").withColumns({
+        "first": F.col("below"), "last": F.col("below") + F.col("n") - 1,
+    })
     hits = placed.select("column", "value", F.inline(F.filter(
         "wanted", lambda w: w["at"].between(F.col("first"), F.col("last"))
     )))

@@ -12,6 +12,8 @@ from wxlake.functions import dates
 from wxlake.functions.numbers import stable_round
 
 DAYS_PER_YEAR = 365.25
+# Width of the steps in which ranks are counted.
+SCORE_STEP = 0.1
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], score: str, name: str) -> DataFrame:
@@ -28,17 +30,28 @@ def rank_by_score(df: DataFrame, score: str, name: str, keys: Sequence[str] = ()
     """The same ranks for any number of rows.
 
     A rank is one plus the number of rows with a higher score. Rows are counted
-    per distinct score first (an index with one decimal has at most 1,001
-    values), so the only sorted group is that of the distinct scores. The score
-    must be rounded: it is also the key of the join back.
+    per distinct score, scores are numbered within a step of ``SCORE_STEP``, and
+    only the steps, at most a thousand for an index of 0 to 100, are sorted as a
+    whole. So scores need not be rounded.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys, score).agg(F.count("*").alias("_n"))
-    order = Window.partitionBy(*keys).orderBy(F.col(score).desc_nulls_last())
-    above = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(
+    step = F.floor(F.col(score) / SCORE_STEP)
+    counts = df.groupBy(*keys, score).agg(F.count("*").alias("_n")).withColumn("_step", step)
+    inside = Window.partitionBy(*keys, "_step").orderBy(F.col(score).desc_nulls_last())
+    earlier = Window.unboundedPreceding, -1
+    steps = counts.groupBy(*keys, "_step").agg(F.sum("_n").alias("_sum"))
+    over = Window.partitionBy(*keys).orderBy(F.col("_step").desc_nulls_last())
+    steps = steps.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_step").alias("_of"),
+        F.coalesce(F.sum("_sum").over(over.rowsBetween(*earlier)), F.lit(0)).alias("_over"),
+    )
+    here = F.col("_step").eqNullSafe(F.col("_of"))
+    for k in keys:
+        here = here & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    above = F.coalesce(F.sum("_n").over(inside.rowsBetween(*earlier)), F.lit(0))
+    ranks = counts.withColumn("_above", above).join(steps, here).select(
         *[F.col(k).alias(f"_{k}") for k in keys], F.col(score).alias("_score"),
-        (F.coalesce(above, F.lit(0)) + 1).cast("int").alias(name),
+        (F.col("_above") + F.col("_over") + 1).cast("int").alias(name),
     )
     same = F.col(score).eqNullSafe(F.col("_score"))
     for k in keys:
@@ -140,11 +153,12 @@ def podium_rest(split: DataFrame, group: str = "period_type") -> DataFrame:
 def worst_days(daily: DataFrame, group: str = "city", score: str = "gloom") -> DataFrame:
     """Rows that reach the highest score of their group; ties are kept.
 
-    The maxima are one row per group; the join back is an equi-join on group and
-    score, which Spark splits if one of them is hot.
+    ``rank() = 1`` is planned as a group limit on both sides of the exchange, so
+    a task sends only the rows that tie for its own highest score.
     """
-    top = daily.groupBy(group).agg(F.max(score).alias(score))
-    return daily.join(top, [group, score], "inner")
+    order = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last())
+    scored = daily.filter(F.col(group).isNotNull() & F.col(score).isNotNull())
+    return scored.withColumn("_place", F.rank().over(order)).filter("_place = 1").drop("_place")
 
 
 def selected_cities(df: DataFrame, cities: Sequence[str] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +44,28 @@ def latest_live(
     return scored.withColumn("city", F.col("station_id")).select(*LIVE_COLUMNS)
 
 
+# Types of the served live columns.
+LIVE_TYPES = {
+    **{c: "double" for c in LIVE_COLUMNS}, "city": "string", "dept": "string",
+    "obs_time": "timestamp", "weather_code": "int",
+}
+
+
+def renewed_status(
+    obs: DataFrame, stored: DataFrame, since: date, spec: IndexSpec = SPEC
+) -> DataFrame:
+    """Stored status brought up to date with the observations from a month's first day on.
+
+    Stored rows from that day on are dropped, as their months were replaced; a
+    city that has been silent since keeps its older row.
+    """
+    month = F.lit(since.year * 100 + since.month)
+    changed = obs.filter(F.col("year") * 100 + F.col("month") >= month)
+    kept = stored.filter(F.to_date("obs_time") < F.lit(since)).select(*LIVE_COLUMNS)
+    both = latest_live(changed, None, spec).unionByName(kept)
+    return rank_by_score(latest_per_key(both, ["city"], ["obs_time"]), "gloom_live", "gloom_rank_live")
+
+
 def live_status(
     obs: DataFrame, tiebreak: Sequence[str] | None = None, spec: IndexSpec = SPEC
 ) -> DataFrame:

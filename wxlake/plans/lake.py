@@ -13,6 +13,7 @@ from wxlake import schemas
 from wxlake.functions.index import SPEC
 from wxlake.operators import alerts as alert_ops
 from wxlake.operators import clean, compare, dedup, episodes, ranking, rollup, serve
+from wxlake.session import fresh_folder
 from wxlake.sources import layers, raw
 from wxlake.spec import ALERT_ARCHIVE_START, MAX_ELEVATION, MIN_HOURS, MIN_POINTS, IndexSpec
 from wxlake.streaming import live
@@ -62,18 +63,20 @@ def build_observations(
     """Raw daily files and live messages to the common observation table.
 
     Only the folders of the chosen sources are replaced, and a range of days is
-    widened to whole months first.
+    widened to whole months first. A range also prunes what is read: the file
+    periods that overlap it, and the messages landed since the day before it.
     """
+    first, last = layers.whole_months(start, end)
     parts = []
     if "official" in sources:
         root = lake.raw("official")
         main, other = (
-            raw.read_daily_family(spark, root, family, complete_only=complete_only)
+            raw.read_daily_family(spark, root, family, None, complete_only, first, last)
             for family in ("RR-T-Vent", "autres-parametres")
         )
         parts.append(clean.official_observations(main, other))
     if "live" in sources:
-        messages = raw.read_live_messages(spark, lake.raw("live"))
+        messages = raw.read_live_messages(spark, lake.raw("live"), first)
         parts.append(clean.live_observations(messages))
     rows = clean.not_null_key(clean.union_sources(*parts), "obs_date")
     rows = clean.with_month(layers.month_range(rows, "obs_date", start, end))
@@ -122,25 +125,45 @@ def build_alerts(spark: SparkSession, lake: Lake) -> int:
     )
 
 
-def build_live_tables(spark: SparkSession, lake: Lake, spec: IndexSpec = SPEC) -> list[str]:
-    """The live status alone; cheap enough for every live cycle."""
+def build_live_tables(
+    spark: SparkSession, lake: Lake, spec: IndexSpec = SPEC, since: date | None = None
+) -> list[str]:
+    """The live status alone.
+
+    With ``since``, the first day that the cycle has replaced: only the month
+    folders from there on are read, and cities without rows in them keep their
+    stored row. Without it, or without a stored status, everything is read.
+    """
     obs = observations(spark, lake)
     if obs is None:
         return []
-    layers.write_small_table(serve.live_status(obs, spec=spec), lake.business("live_status"))
+    path = lake.business("live_status")
+    schema = {**serve.LIVE_TYPES, "gloom_rank_live": "int"}
+    stored = layers.optional_table(spark, path, schema) if since else None
+    if stored is None:
+        status = serve.live_status(obs, spec=spec)
+    else:
+        status = serve.renewed_status(obs, stored, layers.whole_months(since, None)[0], spec)
+        # The table is read and replaced: its rows, one per city, are put aside first.
+        aside = fresh_folder(spark, "live-status")
+        layers.write_small_table(status, aside)
+        status = layers.read_layer(spark, aside, schema)
+    layers.write_small_table(status, path)
     return ["live_status"]
 
 
 def build_business_tables(
     spark: SparkSession, lake: Lake, scope: str = "full", limits: Limits = Limits(),
-    spec: IndexSpec = SPEC, renormalise_missing: bool = False,
+    spec: IndexSpec = SPEC, renormalise_missing: bool = False, since: date | None = None,
 ) -> list[str]:
     """Daily index, rankings, podiums, runs and days; ``scope="live"`` only the status.
 
+    ``since`` is the first day that changed, for the live status.
+
     The daily table is written first and the others read it back: the shared
     work is done once and survives the loss of executors.
     """
-    built = build_live_tables(spark, lake, spec)
+    built = build_live_tables(spark, lake, spec, since)
     obs = observations(spark, lake)
     if scope == "live" or obs is None:
         return built
@@ -279,7 +302,7 @@ def business_report(spark: SparkSession, lake: Lake, n: int = 12) -> dict[str, D
 def served_episodes(spark: SparkSession, lake: Lake, n: int = 30) -> DataFrame:
     """Latest runs, with alert coverage where it was computed."""
     paths = [lake.business("episodes_alerts"), lake.business("episodes")]
-    return episodes.latest_runs(layers.first_present(spark, paths, schemas.EPISODES), n)
+    return episodes.latest_runs(layers.first_present(spark, paths, schemas.EPISODES_ALERTS), n)
 
 
 def served_days(spark: SparkSession, lake: Lake) -> DataFrame:

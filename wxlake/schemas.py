@@ -105,6 +105,10 @@ EPISODES: Schema = {
     "n_days": "bigint", "intensity": "double",
 }
 
+EPISODES_ALERTS: Schema = {
+    **EPISODES, "alert_days": "bigint", "coverage_rate": "double", **strings("max_color", "status"),
+}
+
 
 def _padded(df: DataFrame, name: str, kind: str) -> Column:
     if name in df.columns:

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wxlake.schemas import Schema, ddl
+from wxlake.schemas import Schema, conform, ddl
 
 
 def read_layer(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:
@@ -34,12 +34,18 @@ def empty_table(spark: SparkSession, schema: Schema) -> DataFrame:
 
 
 def first_present(spark: SparkSession, paths: Sequence[str], schema: Schema) -> DataFrame:
-    """The first table that exists, else an empty one."""
+    """The first table that exists and has rows, in the given schema; else an empty one.
+
+    Absent columns are typed NULLs. Whether a table has a row is a scalar
+    subquery of the result, which reads one row at most.
+    """
+    out, before = empty_table(spark, schema), F.lit(0).cast("bigint")
     for path in paths:
         found = optional_table(spark, path)
         if found is not None:
-            return found
-    return empty_table(spark, schema)
+            out = out.unionByName(conform(found, schema).filter(before == 0))
+            before = before + found.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return out
 
 
 def write_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -100,8 +106,7 @@ def counts_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n_rows"))
 
 
-def newest_write(df: DataFrame) -> DataFrame:
-    """Time of the last write of a file-based table, from file metadata."""
-    return df.select(F.col("_metadata.file_modification_time").alias("t")).agg(
-        F.max("t").alias("updated_at")
-    )
+def newest_write(spark: SparkSession, path: str) -> DataFrame:
+    """Time of the last write of a file-based table: one row per file is read, no content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("modificationTime").agg(F.max("modificationTime").alias("updated_at"))

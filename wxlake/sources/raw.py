@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxlake import schemas
-from wxlake.operators.lots import ALERT_FILE, FAMILIES
+from wxlake.operators.lots import ALERT_FILE, FAMILIES, periods_between
 
 # Path fields and file names.
 SNAPSHOT_FIELD = r"snapshot=(\d{4}-\d{2}-\d{2})"
@@ -23,20 +25,22 @@ def with_path_field(df: DataFrame, name: str, pattern: str) -> DataFrame:
     return df.withColumn(name, F.nullif(found, F.lit("")))
 
 
-def complete_lot_folders(spark: SparkSession, root: str) -> list[str]:
-    """Folders below ``root`` that hold a completion marker.
+def complete_lots(spark: SparkSession, pattern: str) -> DataFrame:
+    """``folder`` of each lot that matches the pattern and holds a completion marker.
 
-    Markers are hidden files for the readers, so the file system lists them: one
-    short name per lot, no data.
+    Markers are hidden files for the readers, so the file system resolves the
+    pattern down to them; data files are not listed.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    folders = []
-    while listing.hasNext():
-        entry = listing.next().getPath()
-        if entry.getName() == MARKER:
-            folders.append(entry.getParent().toString())
-    return sorted(folders)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/{MARKER}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    folders = sorted(entry.getPath().getParent().toUri().getPath() for entry in found)
+    return spark.createDataFrame([(f,) for f in folders], "folder string")
+
+
+def folder_of(path: Column) -> Column:
+    """Folder of a file path, without scheme and host; the reader's escapes undone."""
+    bare = F.regexp_replace(path, "^[a-zA-Z0-9+.-]+:(//[^/]*)?", "")
+    return F.url_decode(F.replace(F.regexp_replace(bare, "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))
 
 
 def read_csv_lots(
@@ -63,38 +67,48 @@ def header_columns(spark: SparkSession, paths: str | Sequence[str], glob: str =
 
 
 def _read_lots(
-    spark: SparkSession, paths: str | list[str], columns: Sequence[str] | None, known: Sequence[str]
+    spark: SparkSession, path: str, columns: Sequence[str] | None, known: Sequence[str],
+    lots: str | None = None,
 ) -> DataFrame:
-    """Lots with the given columns, else those of their header line.
+    """Lots with the given columns; else the header line is read and the known ones are kept.
 
-    Without any complete lot the result is empty.
+    With the pattern of the lots' folders, only rows of complete lots. A path
+    without any lot is an empty table.
     """
-    if not paths:
-        none = spark.createDataFrame([], schemas.ddl(schemas.strings(*(columns or known))))
-        return none.withColumn("snapshot", F.lit(None).cast("string"))
-    return read_csv_lots(spark, paths, columns or header_columns(spark, paths))
+    wanted = list(columns or known)
+    try:
+        rows = read_csv_lots(spark, path, columns or header_columns(spark, path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schemas.ddl(schemas.strings(*wanted, "snapshot")))
+    kept = [F.col(f"`{c}`") for c in (*wanted, "snapshot")]
+    if lots is None:
+        return rows.select(*kept)
+    placed = rows.select(*kept, folder_of(F.col("_metadata.file_path")).alias("_folder"))
+    marked = complete_lots(spark, lots)
+    return placed.join(marked, F.col("_folder") == F.col("folder"), "left_semi").drop("_folder")
 
 
 def read_daily_family(
     spark: SparkSession, root: str, family: str, columns: Sequence[str] | None = None,
-    complete_only: bool = False,
+    complete_only: bool = False, start: date | None = None, end: date | None = None,
 ) -> DataFrame:
-    """One family of the daily files of all areas and periods."""
-    paths: str | list[str] = f"{root}/dept=*/period=*/family={family}"
-    if complete_only:
-        paths = [p for p in complete_lot_folders(spark, root) if f"/family={family}" in p]
+    """One family of the daily files of all areas; of a range, the periods that overlap it."""
+    periods = "*"
+    if start or end:
+        periods = "{" + ",".join([*periods_between(start, end), "latest"]) + "}"
+    path = f"{root}/dept=*/period={periods}/family={family}"
     first = family == FAMILIES[0]
     known = schemas.DAILY_MAIN_COLUMNS if first else schemas.DAILY_OTHER_COLUMNS
-    return _read_lots(spark, paths, columns, known)
+    return _read_lots(spark, path, columns, known, f"{path}/snapshot=*" if complete_only else None)
 
 
 def read_hourly(
     spark: SparkSession, root: str, columns: Sequence[str] | None = None, complete_only: bool = False
 ) -> DataFrame:
-    paths: str | list[str] = f"{root}/dept=*/period=*"
-    if complete_only:
-        paths = complete_lot_folders(spark, root)
-    return _read_lots(spark, paths, columns, schemas.HOURLY_COLUMNS)
+    path = f"{root}/dept=*/period=*"
+    return _read_lots(spark, path, columns, schemas.HOURLY_COLUMNS, f"{path}/snapshot=*" if complete_only else None)
 
 
 def read_grid_values(
@@ -102,11 +116,10 @@ def read_grid_values(
     complete_only: bool = False,
 ) -> DataFrame:
     """Mesh values of ``kind`` ``mens`` (monthly) or ``quot_latest`` (daily)."""
-    paths: str | list[str] = f"{root}/kind={kind}"
-    if complete_only:
-        paths = complete_lot_folders(spark, paths)
-    known = schemas.GRID_MONTHLY_COLUMNS if kind == "mens" else schemas.GRID_DAILY_COLUMNS
-    return _read_lots(spark, paths, columns, known)
+    path, monthly = f"{root}/kind={kind}", kind == "mens"
+    lots = f"{path}/year=*/snapshot=*" if monthly else f"{path}/snapshot=*"
+    known = schemas.GRID_MONTHLY_COLUMNS if monthly else schemas.GRID_DAILY_COLUMNS
+    return _read_lots(spark, path, columns, known, lots if complete_only else None)
 
 
 def read_grid_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -115,13 +128,17 @@ def read_grid_reference(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("sep", ";").csv(path)
 
 
-def read_live_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON lines landed by the stream.
+def read_live_messages(spark: SparkSession, folder: str, start: date | None = None) -> DataFrame:
+    """JSON lines landed by the stream; from a day on, the folders that can hold its messages.
 
     Reads the folder itself: its commit log hides files of unfinished batches,
-    which a file pattern would pick up.
+    which a file pattern would pick up. A message is not landed before its day,
+    and one day is left for clocks that differ.
     """
-    return spark.read.schema(schemas.ddl(schemas.LIVE_MESSAGE)).json(folder)
+    lines = spark.read.schema(schemas.ddl(schemas.LIVE_MESSAGE)).json(folder)
+    if start and "ingest_date" in lines.columns:
+        lines = lines.filter(F.col("ingest_date") >= F.lit(start - timedelta(days=1)))
+    return lines
 
 
 def read_alert_documents(spark: SparkSession, folder: str, glob: str = ALERT_FILE) -> DataFrame:
@@ -150,6 +167,11 @@ def parse_nested_messages(lines: DataFrame, column: str = "value") -> DataFrame:
     return top.select(*[c for c in top.columns if c != "current"], "current.*")
 
 
+def json_field(text: Column | str, name: str, kind: str) -> Column:
+    """One top-level field of a JSON text; NULL where absent or unreadable."""
+    return F.from_json(text, f"`{name}` {kind}")[name]
+
+
 def area_of_file(path: Column) -> Column:
     """Area code from a file name like ``Q_75_latest_family.csv.gz``."""
     name = F.element_at(F.split(path, "/"), -1)

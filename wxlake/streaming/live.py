@@ -16,6 +16,9 @@ from wxlake.sources.layers import empty_table
 
 # Fixed value: seconds per micro-batch, to limit the number of small files.
 TRIGGER = "300 seconds"
+# Complete versions of a table that are kept.
+KEPT_VERSIONS = 3
+MARKER = "_SUCCESS"
 # Log lines that report an error.
 ERROR_LINE = "ERROR|Exception|Traceback"
 
@@ -97,45 +100,67 @@ def live_rows(messages: DataFrame) -> DataFrame:
     return live_index(live_measures(timed, keep=("ingested_at",)))
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop_path, hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the completely written versions of a table, from their completion markers."""
+    hadoop_path, files = _file_system(spark, path)
+    found = files.globStatus(hadoop_path(f"{path}/version=*/{MARKER}")) or []
+    return sorted(int(entry.getPath().getParent().getName().split("=")[1]) for entry in found)
+
+
+def _version(spark: SparkSession, path: str, number: int | None, columns: dict[str, str]) -> DataFrame:
+    if number is None:
+        return empty_table(spark, columns)
+    return spark.read.schema(schemas.ddl(columns)).parquet(f"{path}/version={number}")
+
+
 def upsert_latest(
     rows: DataFrame, path: str, checkpoint: str, keys: list[str], newest: list[str],
-    available_now: bool = False, trigger: str = TRIGGER,
+    available_now: bool = False, trigger: str = TRIGGER, keep: int = KEPT_VERSIONS,
 ) -> StreamingQuery:
     """Keep a table with the newest row per key up to date.
 
-    Batch n writes version n: the newest rows of version n - 1 and of the batch.
-    A repeated batch rewrites the same version from the same input, so a restart
-    neither loses nor doubles rows, and a late older row never replaces a newer
-    one. Each batch rewrites the table, so use it for one row per city; see
-    ``log_latest`` for keys that grow with time.
+    Batch n writes version n: the newest rows of the version before it and of the
+    batch. A repeated batch rewrites the same version from the same input, so a
+    restart neither loses nor doubles rows, and a late older row never replaces a
+    newer one. The last ``keep`` versions stay for readers that have begun. Each
+    batch rewrites the table, so use it for one row per city; see ``log_latest``
+    for keys that grow with time.
     """
     columns = {name: kind for name, kind in rows.dtypes}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = (
-            spark.read.schema(schemas.ddl(columns)).parquet(f"{path}/version={batch_id - 1}")
-            if batch_id > 0 else empty_table(spark, columns)
-        )
+        earlier = [v for v in versions(spark, path) if v < batch_id]
+        before = _version(spark, path, max(earlier, default=None), columns)
         both = before.unionByName(latest_per_key(batch, keys, newest))
         newest_rows = latest_per_key(both, keys, newest)
         newest_rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        hadoop_path, files = _file_system(spark, path)
+        for old in earlier[: max(0, len(earlier) + 1 - keep)]:
+            files.delete(hadoop_path(f"{path}/version={old}"), True)
 
     writer = rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _start(writer, available_now, trigger)
 
 
 def current_version(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """Rows of the newest version written by ``upsert_latest``."""
-    versions = spark.read.schema(schemas.ddl({**columns, "version": "bigint"})).parquet(path)
-    last = versions.agg(F.max("version").alias("last")).scalar()
-    return versions.filter(F.col("version") == last).drop("version")
+    """Rows of the newest complete version written by ``upsert_latest``; no other one is opened."""
+    return _version(spark, path, max(versions(spark, path), default=None), columns)
 
 
 def message_rate(
     messages: DataFrame, ts: str = "timestamp", width: str = "5 minutes", late: str = "1 hour"
 ) -> DataFrame:
-    """Messages per second in each window; also valid on a batch table."""
+    """Messages per second in each window; also valid on a batch table.
+
+    A stream drops messages of windows that ended more than ``late`` before the
+    newest message; ``rows_dropped`` counts them.
+    """
     span = F.window(ts, width)
     counted = messages.withWatermark(ts, late).groupBy(span).agg(F.count("*").alias("n"))
     seconds = F.unix_seconds("window.end") - F.unix_seconds("window.start")
@@ -144,7 +169,17 @@ def message_rate(
     )
 
 
-def _log(writer, path: str, change, available_now: bool, trigger: str) -> StreamingQuery:
+def rows_dropped(query: StreamingQuery) -> int:
+    """Late rows that the watermark has dropped, over the batches that the query still reports."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress for operator in progress.stateOperators
+    )
+
+
+def _log(
+    writer, path: str, change, available_now: bool, trigger: str, day: str | None = None
+) -> StreamingQuery:
     """Write what ``change`` makes of each batch to a folder of its own.
 
     The work of a batch depends on the batch alone, and a repeated batch replaces
@@ -152,22 +187,27 @@ def _log(writer, path: str, change, available_now: bool, trigger: str) -> Stream
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        change(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        writer = change(batch).write.mode("overwrite")
+        if day:
+            writer = writer.partitionBy(day)
+        writer.parquet(f"{path}/batch={batch_id}")
 
     return _start(writer.foreachBatch(write), available_now, trigger)
 
 
 def log_latest(
     rows: DataFrame, path: str, checkpoint: str, keys: list[str], newest: list[str],
-    available_now: bool = False, trigger: str = TRIGGER,
+    available_now: bool = False, trigger: str = TRIGGER, day: str | None = None,
 ) -> StreamingQuery:
     """Log the newest row per key of each batch.
 
     For keys that grow with time, such as city and quarter hour. Readers take the
-    newest row per key over the log, so late rows are never lost.
+    newest row per key over the log, so late rows are never lost. ``day``, a date
+    column that the keys determine, becomes a folder of each batch, so a reader of
+    some days opens only their part of the log.
     """
     writer = rows.writeStream.option("checkpointLocation", checkpoint)
-    return _log(writer, path, lambda b: latest_per_key(b, keys, newest), available_now, trigger)
+    return _log(writer, path, lambda b: latest_per_key(b, keys, newest), available_now, trigger, day)
 
 
 def log_updates(
