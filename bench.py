@@ -20,7 +20,7 @@ HEADLINE = (
     "rank_global", "sorted_ranking", "islands", "episode_status", "groupwise_max_join",
     "latest_live_rows", "sorted_live", "reliability", "gloom_grid", "gloom_partial",
     "idw_cross_join", "flatten_current", "fill_rate", "describe", "exact_quantiles",
-    "write_partitions", "stream_dedup",
+    "write_partitions", "stream_dedup", "job_path", "live_cycle",
 )
 
 

@@ -323,6 +323,7 @@ _OBS = f"""
       {checked('brou', 'q')} AS fog, {checked('hneigef', 'q')} AS snowfall_cm
     FROM """
 CTES["obs"] = _OBS + "raw"
+CTES["obs_lots"] = _OBS.replace("obs_date,", "obs_date, snapshot,", 1) + "raw"
 CTES["obs_newest"] = _OBS + "newest"
 del CTES["obs_all"]
 
@@ -349,6 +350,20 @@ def sql(body: str) -> str:
     return f"WITH {parts}\n{body}" if parts else body
 
 
+MAIN_COLUMNS = (
+    "elevation", "frost_min", "latitude", "longitude", "precipitation_mm", "station_name",
+    "temp_max", "temp_min", "temperature", "wind_gust_ms", "wind_speed_ms",
+)
+OTHER_COLUMNS = ("fog", "humidity_pct", "pressure_hpa", "snowfall_cm", "sunshine_min")
+
+
+def newest_lot(columns) -> str:
+    """Newest row per station and day; ties by the cleaned columns, in the order of their names."""
+    ties = ", ".join(f"{c} DESC NULLS LAST" for c in columns)
+    return f"""SELECT * FROM (SELECT station_id, obs_date, {', '.join(columns)}, row_number() OVER (
+      PARTITION BY station_id, obs_date ORDER BY snapshot DESC, {ties}) AS rn FROM obs_lots) WHERE rn = 1"""
+
+
 OBS_COLUMNS = (
     "station_id, obs_date, temperature, temp_min, temp_max, precipitation_mm, humidity_pct, "
     "pressure_hpa, wind_speed_ms, wind_gust_ms, sunshine_min, frost_min, fog, snowfall_cm"

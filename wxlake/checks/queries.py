@@ -318,6 +318,16 @@ def _(spark, sf):
     return clean.official_observations(main, other, b.DAILY_TIES).select(*OBS)
 
 
+@query("job_path", f"""
+    SELECT {o.OBS_COLUMNS} FROM ({o.newest_lot(o.MAIN_COLUMNS)}) m
+    JOIN ({o.newest_lot(o.OTHER_COLUMNS)}) x USING (station_id, obs_date)""")
+def _(spark, sf):
+    """Files to observations as the job does it: header columns, ties by the cleaned columns."""
+    root = b.stage_daily(spark, sf)
+    main, other = (raw.read_daily_family(spark, root, family) for family in lots.FAMILIES)
+    return clean.official_observations(main, other).select(*OBS)
+
+
 @query("unit_convert", """
     SELECT event_id, wind_speed_10m / 3.6e0 AS wind_ms, (wind_speed_10m / 3.6e0) * 3.6e0 AS wind_kmh
     FROM messages""")

@@ -85,6 +85,7 @@ def weather_symbol(code: Column) -> Column:
 
 def day_symbol(precip: Column, temp_min: Column, sunshine: Column) -> Column:
     """Symbol of a day from rain, then frost, then sunshine."""
+    # Bounds and symbols.
     return (
         F.when(precip >= 10, "🌧️")
         .when(precip >= 1, "🌦️")

@@ -112,6 +112,7 @@ def official_observations(
 def live_measures(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Live message fields to the common model; wind in m/s. No state."""
     kept = {name: kind for name, kind in df.dtypes if name in keep}
+    # Model column <- field of the message.
     return schemas.conform(
         df.select(
             *keep,

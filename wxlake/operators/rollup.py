@@ -27,6 +27,7 @@ def with_city(df: DataFrame) -> DataFrame:
 
 def area_day_measures(obs: DataFrame, max_elevation: float = MAX_ELEVATION) -> DataFrame:
     """Lowland stations to one row per area and day."""
+    # Columns of the daily table and how each is aggregated.
     return lowland(obs, OFFICIAL, max_elevation).groupBy("dept", "obs_date").agg(
         F.avg("temperature").alias("temp_avg"),
         F.min("temp_min").alias("temp_min"),
@@ -98,6 +99,7 @@ def cellify(grid: DataFrame, size: int = CELL_HM) -> DataFrame:
 
 def cell_day_measures(grid: DataFrame) -> DataFrame:
     daily = cellify(grid.filter(F.col("kind") == "daily"))
+    # Columns of the cell table.
     return daily.groupBy("cellx", "celly", "obs_date").agg(
         stable_round(F.avg("lat"), 3).alias("lat"),
         stable_round(F.avg("lon"), 3).alias("lon"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -44,16 +47,17 @@ def build_session(
 def work_folder(spark: SparkSession) -> str:
     """Shared folder for written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a folder of this machine.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master, one
+    process on this machine, may fall back to a folder of it, which goes with the process.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_KEY, None)
     if shared:
         return shared.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     local = tempfile.mkdtemp(prefix="wxlake-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set(LOCAL_KEY, local)
     return local
 
