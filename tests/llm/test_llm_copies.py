@@ -123,7 +123,7 @@ def test_components(spark):
 
 
 def test_boilerplate_lines(spark):
-    rows = [(i, f"top\nline {i}\n\n{'common' if i % 2 else 'rare ' + str(i)}\ncommon", "en", "a", 0) for i in range(20)]
+    rows = [(300 + i, f"top\nline {i}\n\n{'common' if i % 2 else 'rare ' + str(i)}\ncommon", "en", "a", 0) for i in range(20)]
     rows += [(100 + i, "top\nelse", None, None, None) for i in range(4)] + odd_rows()
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as n_lines", "2 as of", "3 as common")
     found = {r.row.doc_id: r for r in line_dedup.mark_lines(docs, ratio=0.1, least_pages=5).collect() if (r.row.doc_id or 0) >= 0}
@@ -139,7 +139,16 @@ def test_boilerplate_lines(spark):
         own = r.row.text.split("\n")
         kept = [x for x in own if x not in held]
         assert (r.n_lines, r.n_dropped, r.kept) == (len(own), len(own) - len(kept), "\n".join(kept))
-    assert found[3].kept == "line 3\n"
+    assert found[303].kept == "line 3\n"
     out = line_dedup.drop_lines(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
     assert line_dedup.mark_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_tile_of_two_blocks_with_one_empty_counts_nothing():
+    import numpy as np
+
+    sets = [np.arange(20, dtype=np.uint64), np.arange(20, dtype=np.uint64)]
+    alone = (np.ones(2, np.int64), np.zeros(2, np.int64))
+    assert jaccard.verify([b"a", b"b"], sets, *alone, False, 90) == ([], [])
+    assert jaccard.verify([b"a", b"b"], sets, *alone, True, 90) == ([(b"a", b"b")], [(b"a", 1), (b"b", 1)])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -42,7 +44,7 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
                 for i in range(0, len(own), size):
                     part = own[i : i + size]
                     values = flat[starts[part][:, None] + np.arange(d)] if d else np.empty((len(part), 0), np.int64)
-                    small = np.abs(values).max(initial=0) < 2**15
+                    small = ((values < 2**15) & (values >= -(2**15))).all()
                     yield pa.RecordBatch.from_pydict({
                         "dims": pa.array([d], pa.int32()), "pack": pa.array([0], pa.int64()),
                         "ids": [ids[part].astype("<i8").tobytes()], "width": pa.array([2 if small else 8], pa.int32()),
@@ -51,16 +53,35 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(pack, PACKED).withColumn("pack", F.monotonically_increasing_id())
 
 
+def _size(rows: np.ndarray) -> np.ndarray:
+    """At least the largest magnitude in each row, without overflow."""
+    return np.maximum(rows.max(axis=1, initial=0), ~rows.min(axis=1, initial=0))
+
+
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: in floating point where no sum can leave its exact range."""
-    largest = max(1, q.shape[1]) * max(int(np.abs(q).max(initial=0)), 1) * max(int(np.abs(v).max(initial=0)), 1)
+    """Exact integer inner products: in floating point where no sum can leave its exact range.
+
+    Rows so large that 64 bits might not do are multiplied as Python integers; a score beyond 64 bits is held at their end.
+    """
+    dims, sizes = max(1, q.shape[1]), (_size(q), _size(v))
+    largest = dims * (int(sizes[0].max(initial=0)) + 1) * (int(sizes[1].max(initial=0)) + 1)
     if largest < 2**24:
         return (q.astype(np.float32) @ v.astype(np.float32).T).astype(np.int64)
     if largest < 2**53:
         return (q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
     if largest < 2**63:
         return q @ v.T
-    raise OverflowError("inner products beyond 64 bits")
+    low, high = (s < isqrt(2**62 // dims) for s in sizes)
+    out = np.empty((len(q), len(v)), dtype=np.int64)
+    out[np.ix_(low, high)] = q[low] @ v[high].T
+
+    def exact(a, b):
+        products = a.astype(object) @ b.astype(object).T
+        return np.clip(products, EMPTY + 1, 2**63 - 1).astype(np.int64)
+
+    out[~low] = exact(q[~low], v)
+    out[np.ix_(low, ~high)] = exact(q[low], v[~high])
+    return out
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +171,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, co
     ``is_query`` is a condition on ``vec_id``. Score: inner product of floor(scale * x). Candidates are
     all rows with another id and as many components; fewer than k: all of them. Ties go to
     the smaller id. Unusable vectors take no part. Repeated rows are candidates each; a repeated
-    query row is answered each time. No rows or no queries: no rows. Scores beyond 64 bits are an error.
+    query row is answered each time. No rows or no queries: no rows. Scores beyond 64 bits are held at their end.
 
     Blocks of queries meet shards of vectors by an equi-join on groups of shards: each
     block is sent to each group once. A tile's lists are merged in a tree, about ``fan_in`` lists to a task.
