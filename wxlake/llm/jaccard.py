@@ -16,7 +16,7 @@ from wxlake.llm.fingerprints import mix, run_hashes, word_hashes, word_spans
 from wxlake.llm.graphs import components
 
 SHINGLE, PERCENT = 3, 90
-#: A token in more sets is frequent; frequent tokens are indexed in pairs within CELLS groups.
+#: A token in as many sets is frequent, a power of two; frequent tokens are indexed in pairs within CELLS groups.
 FREQUENT, CELLS = 32, 256
 #: Sets and tokens of one side of a tile.
 SIDE_SETS, SIDE_TOKENS = 512, 2_000_000
@@ -174,8 +174,8 @@ def _summed(table: pa.Table) -> pa.Table:
 def signatures(tokens: np.ndarray, counts: np.ndarray, percent: int, frequent: int = FREQUENT, cells: int = CELLS) -> np.ndarray:
     """Signatures of a set, of which any two linked sets share one.
 
-    ``tokens`` are sorted hashes, ``counts`` the number of sets that hold each. Tokens are ordered by class, single, rare or
-    frequent, then by hash. A linked set misses at most m tokens of this one. Rare tokens are signatures themselves;
+    ``tokens`` are hashes, ``counts`` the number of sets that hold each. Tokens are ordered by class, the binary
+    magnitude of their count, then by hash; from ``frequent`` on they are frequent, else rare or single. A linked set misses at most m tokens of this one. Rare tokens are signatures themselves;
     frequent ones fall into cells by their hash, and each pair of one cell is a signature: to spoil all pairs
     of a cell, all its tokens but one must be missing. The prefix grows until more than m tokens must
     be missing to spoil all its signatures. If the whole set is not enough, its
@@ -185,7 +185,9 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, percent: int, frequent: i
     single = int((counts < 2).sum())
     if single > missing:
         return np.zeros(0, dtype=np.uint64)
-    rare, common = tokens[(counts >= 2) & (counts <= frequent)], tokens[counts > frequent]
+    order = np.lexsort((tokens, np.floor(np.log2(counts))))
+    tokens, counts = tokens[order], counts[order]
+    rare, common = tokens[(counts >= 2) & (counts < frequent)], tokens[counts >= frequent]
     needed = missing + 1 - single
     alone = rare[:needed]
     needed -= len(alone)
