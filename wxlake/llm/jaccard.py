@@ -283,11 +283,12 @@ def _stars(linked: np.ndarray) -> list[tuple[int, int]]:
     return [(int(r), i) for i, r in enumerate(roots.tolist()) if r >= 0 and r != i]
 
 
-def verify(nodes: list[bytes], sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, percent: int):
-    """Edges and numbers of links of one tile: all pairs between sides 0 and 1, or within side 0 if there is no other."""
+def verify(nodes: list[bytes], sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, whole: bool, percent: int):
+    """Edges and numbers of links of one tile: all pairs within it if it is a ``whole`` block, else those between sides 0 and 1."""
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    whole = not len(right)
     other = left if whole else right
+    if not len(left) or not len(other):
+        return [], []
     shared = _common([sets[i] for i in left], None if whole else [sets[i] for i in right])
     size = np.array([len(s) for s in sets])
     union = size[left][:, None] + size[other][None, :] - shared
@@ -307,12 +308,13 @@ def _verified(percent: int):
         nodes, clusters = table.column("node").to_pylist(), table.column("cluster").to_pylist()
         sets = _blobs(table, "tokens", "<u8")
         copies, side = table.column("copies").to_numpy().astype(np.int64), table.column("side").to_numpy()
+        whole = table.column("whole").to_pylist()
         groups: dict[bytes, list[int]] = {}
         for i, c in enumerate(clusters):
             groups.setdefault(c, []).append(i)
         rows: list[tuple] = []
         for own in groups.values():
-            edges, links = verify([nodes[i] for i in own], [sets[i] for i in own], copies[own], side[own], percent)
+            edges, links = verify([nodes[i] for i in own], [sets[i] for i in own], copies[own], side[own], whole[own[0]], percent)
             rows += [(a, b, None) for a, b in edges] + [(a, None, n) for a, n in links]
         a, b, n = zip(*rows) if rows else ((), (), ())
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "links": pa.array(n, pa.int64())})
@@ -335,14 +337,15 @@ def _tiles(members: DataFrame, clusters: DataFrame) -> DataFrame:
     bins = max(1, -(-small // SIDE_TOKENS))
     rows = members.join(sizes.select(F.col("cluster").alias("c"), "blocks"), F.col("cluster") == F.col("c")).drop("c")
     alone = rows.where("blocks = 1").withColumn("tile", F.concat(
-        F.lit("bin "), F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("string"))).withColumn("side", F.lit(0))
+        F.lit("bin "), F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("string"))).withColumn("side", F.lit(0)).withColumn("whole", F.lit(True))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = rows.where("blocks > 1").withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.withColumn("tile", F.concat_ws(
         " ", F.hex("cluster"), F.least("block", "other").cast("string"), F.greatest("block", "other").cast("string")))
     spread = spread.withColumn("side", (F.col("block") > F.col("other")).cast("int"))
-    columns = ["tile", "side", "cluster", "node", "copies", "tokens"]
+    spread = spread.withColumn("whole", F.col("block") == F.col("other"))
+    columns = ["tile", "side", "whole", "cluster", "node", "copies", "tokens"]
     return alone.select(*columns).unionByName(spread.select(*columns))
 
 
