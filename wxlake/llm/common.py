@@ -12,6 +12,8 @@ from wxlake.session import fresh_folder, pin_session
 
 #: Folder of the package, for the Python workers of a session that was started elsewhere.
 ROOT = str(Path(__file__).resolve().parents[2])
+#: Measured bytes up to which a side of a join is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -41,6 +43,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, label: str, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A side of a join, written, and broadcast if it is measured to be at most ``most`` bytes as text."""
+    df = materialise(df, label)
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
+
+
 def text_bytes(column: str = "text"):
     """UTF-8 bytes of a text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -5,36 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wxlake.llm.common import pin
+from wxlake.llm.common import pin, small_side
 
 #: A line is boilerplate if over RATIO of its host's pages hold it, and at least LEAST_PAGES do.
 RATIO = 0.1
 LEAST_PAGES = 5
 
 
+def _digest(line):
+    return F.unhex(F.md5(line))
+
+
 def boilerplate(docs: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES, host: str = "source") -> DataFrame:
-    """``host`` and ``lines``, the array of its boilerplate lines; hosts without any are absent.
+    """``host`` and ``lines``, the array of 128-bit digests of its boilerplate lines; hosts without any are absent.
 
     Lines are cut at ``\\n`` and compared unchanged; empty ones never count. A page counts once
     for a line however often it holds it. A null host is a host of its own; null texts are pages without lines.
 
-    Lines are counted by their 128-bit digest, combined before the shuffle, so a line that every page
+    Digests are counted, combined before the shuffle, so a line that every page
     holds sends one row per task. On average a page's lines over ``ratio`` bound a host's array, whatever the number of pages.
     """
-    digest = F.unhex(F.md5("line")).alias("digest")
     lines = docs.select(F.col(host).alias("host"), F.explode(
         F.array_distinct(F.split("text", "\n", -1))).alias("line")).where(F.col("line") != "")
-    pages = docs.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
-    counts = lines.select("host", digest, "line").groupBy("host", "digest").agg(F.count(F.lit(1)).alias("found"))
-    common = counts.where(F.col("found") >= least_pages).join(
-        pages.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
-    common = common.where(F.col("found") > F.lit(ratio) * F.col("pages")).select("host", "digest")
-    # The strings of the few chosen digests.
-    chosen = common.select(F.col("host").alias("h"), F.col("digest").alias("d"))
-    texts = lines.select("host", digest, "line").join(
-        chosen, F.col("host").eqNullSafe(F.col("h")) & (F.col("digest") == F.col("d")))
-    texts = texts.groupBy("host", "digest").agg(F.min("line").alias("line"))
-    return texts.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    pages = docs.groupBy(F.col(host).alias("of")).agg(F.count(F.lit(1)).alias("pages"))
+    counts = lines.groupBy("host", _digest(F.col("line")).alias("digest")).agg(F.count(F.lit(1)).alias("found"))
+    common = counts.where(F.col("found") >= least_pages).join(pages, F.col("host").eqNullSafe(F.col("of")))
+    common = common.where(F.col("found") > F.lit(ratio) * F.col("pages"))
+    return common.groupBy("host").agg(F.sort_array(F.collect_list("digest")).alias("lines"))
 
 
 def mark_lines(docs: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES, host: str = "source") -> DataFrame:
@@ -44,10 +41,11 @@ def mark_lines(docs: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_P
     """
     pin(docs.sparkSession)
     found = boilerplate(docs, ratio, least_pages, host).select(F.col("host").alias("of"), F.col("lines").alias("common"))
+    found = small_side(found, "boilerplate")
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(host).alias("host"), "text")
     rows = rows.join(found, F.col("host").eqNullSafe(F.col("of")), "left")
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda line: ~F.array_contains("common", line))
+    kept = F.filter(lines, lambda line: ~F.array_contains("common", _digest(line)))
     return rows.select(
         "row",
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
