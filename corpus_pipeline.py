@@ -17,6 +17,10 @@ from wxlake.llm import jaccard, line_dedup, packing, quality, secret_scan
 from wxlake.llm.common import materialise, table
 
 
+#: Documents are near copies if their sets of runs of so many words are that similar.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
@@ -26,7 +30,7 @@ def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def secrets_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
