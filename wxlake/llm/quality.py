@@ -8,14 +8,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wxlake.llm.common import materialise, pin
+from wxlake.llm.common import materialise, pin, small_side
 
 #: Documents with fewer words, or a larger share of repeated ones, fail whatever their host.
 LEAST_WORDS = 50
 REPEAT_PERCENT = 50
 #: Soft rules, in percent: symbols to words; repeated lines to words' lines is bounded by lines; mean characters of a word.
 SYMBOL_PERCENT = 10
-DUP_LINE_PERCENT = 30
+DUP_LINE_PERCENT = 50
 WORD_CHARS = (2, 20)
 #: A rule binds on hosts whose shrunk failure rate is above this.
 HOST_LIMIT = 0.02
@@ -121,10 +121,11 @@ def judge(docs: DataFrame, limit: float = HOST_LIMIT, carry: list[str] | None =
     that fails no rule is always kept. No documents: no rows.
 
     Features are written once, and read for the hosts' counts and for the join back; hosts
-    are combined before the shuffle and joined by an equi-join that adaptive execution splits at hot hosts.
+    are combined before the shuffle and joined as a broadcast of checked size, else by an equi-join that
+    adaptive execution splits at hot hosts.
     """
     measured = materialise(with_features(docs, carry, host, text), "quality")
-    verdicts = host_verdicts(measured, limit).withColumnRenamed("host", "of")
+    verdicts = small_side(host_verdicts(measured, limit).withColumnRenamed("host", "of"), "hosts")
     joined = measured.join(verdicts, measured.host.eqNullSafe(F.col("of")), "left")
     soft = F.lit(False)
     for rule, failed in rule_columns().items():

@@ -84,7 +84,7 @@ measured as (
     from words left join covered using (doc_id)),
 ruled as (
     select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-           100 * n_symbols > 10 * n_words as f1, 100 * n_dup_lines > 30 * n_lines as f2,
+           100 * n_symbols > 10 * n_words as f1, 100 * n_dup_lines > 50 * n_lines as f2,
            word_chars < 2 * n_words or word_chars > 20 * n_words as f3
     from measured),
 hosts as (select source, count(*) as n, [count(*) filter (f1), count(*) filter (f2), count(*) filter (f3)] as f
