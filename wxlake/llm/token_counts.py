@@ -10,7 +10,7 @@ from wxlake.llm import bpe
 from wxlake.llm.common import pin
 
 #: Lengths in one block of the suffix sums.
-BLOCK = 4096
+BLOCK = 64
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = bpe.VOCABULARY, text: str = "text") -> DataFrame:
