@@ -30,7 +30,7 @@ class UnitEncoder:
     remembered; then the memory starts anew.
     """
 
-    def __init__(self, path: str = VOCABULARY, keep: int = 600_000):
+    def __init__(self, path: str = VOCABULARY, keep: int = 300_000):
         import tiktoken
 
         lines = Path(path).read_bytes().splitlines()
@@ -88,7 +88,7 @@ def encoder(path: str = VOCABULARY) -> UnitEncoder:
     return UnitEncoder(path)
 
 
-def in_portions(texts: list, most: int = 4_000_000):
+def in_portions(texts: list, most: int = 2_000_000):
     """Slices of a list of texts with about ``most`` characters each."""
     start, total = 0, 0
     for i, text in enumerate(texts):

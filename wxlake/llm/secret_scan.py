@@ -233,7 +233,7 @@ def train(sample: list[tuple[list[str], list[int], int]]) -> Model:
 class Tagger:
     """Decodes with a model. Scores of words are remembered, about ``keep`` words."""
 
-    def __init__(self, model: Model, keep: int = 600_000):
+    def __init__(self, model: Model, keep: int = 200_000):
         self.model, self.keep = model, keep
         self._reset()
 
