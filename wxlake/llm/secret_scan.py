@@ -267,8 +267,10 @@ class Tagger:
         Where the score of outside beats both other labels by more than two transitions can
         make up, every best path passes through it; the sequence is cut there without change of the result.
         """
-        if len(self.of_word) > self.keep:
+        if self.used > self.keep:
             self._reset()
+        elif len(self.of_word) > self.keep:
+            self.of_word.clear()  # the rows of their keys stay
         get, flat = self.of_word.get, []
         for words in texts:
             found = list(map(get, words))
