@@ -19,6 +19,9 @@ from wxlake.llm.common import materialise, table
 
 #: Documents are near copies if their sets of runs of so many words are that similar.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: A line is boilerplate above this share of its host's pages. Boilerplate on about a tenth of all pages is above
+#: or below a tenth by the chance of the host, so the share is half of that; one page in twenty is the general rule.
+BOILERPLATE_RATIO = 0.05
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.drop_lines(docs)
+    return line_dedup.drop_lines(docs, BOILERPLATE_RATIO)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from brute import SCHEMA, linked, odd_rows, random_rows, without_repeats
 from wxlake.llm import graphs, jaccard, line_dedup, queries, substrings
 
@@ -145,6 +146,19 @@ def test_boilerplate_lines(spark):
     assert line_dedup.mark_lines(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_pipeline_drops_boilerplate_around_a_tenth_on_all_hosts(spark):
+    rows = []
+    for host, percent in (("a", 8), ("b", 10), ("c", 11), ("d", 13)):
+        for i in range(100):
+            text = [f"{host} line {i}"] + ["licence"] * (i < percent) + ["phrase"] * (i >= 96)
+            rows.append((len(rows), "\n".join(text), "en", host, 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = corpus_pipeline.boilerplate_lines(spark, docs, SF).collect()
+    assert len(out) == 400 and not any("licence" in r.text for r in out)
+    assert sum("phrase" in r.text for r in out) == 16
+    assert sum("line" in r.text for r in out) == 400
+
+
 def test_a_tile_of_two_blocks_with_one_empty_counts_nothing():
     import numpy as np
 
