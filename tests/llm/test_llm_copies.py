@@ -159,6 +159,19 @@ def test_pipeline_drops_boilerplate_around_a_tenth_on_all_hosts(spark):
     assert sum("line" in r.text for r in out) == 400
 
 
+def test_copies_of_a_whole_text_are_no_boilerplate_of_the_pipeline(spark):
+    clean = "a clean text\nof two lines"
+    rows = [(i, clean if i < 40 else None if i < 44 else f"page {i}\nmenu", "en", "a", 0) for i in range(100)]
+    rows += [(200 + i, clean, None, None, 0) for i in range(10)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = {r.doc_id: r.text for r in corpus_pipeline.boilerplate_lines(spark, docs, SF).collect()}
+    assert len(out) == 110
+    assert all(out[i] == clean for i in [*range(40), *range(200, 210)])
+    assert all(out[i] is None for i in range(40, 44)) and all(out[i] == f"page {i}" for i in range(44, 100))
+    counted = {r.row.doc_id: r.kept for r in line_dedup.mark_lines(docs).collect()}
+    assert counted[0] == counted[200] == "" and counted[50] == "page 50"
+
+
 def test_a_tile_of_two_blocks_with_one_empty_counts_nothing():
     import numpy as np
 
