@@ -352,7 +352,10 @@ _EDGES = "\"'.,;:()[]{}<>`"
 
 
 def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list[Span], list[Span]]]:
-    """Base spans, and all spans: the tagged ones that overlap no base span are added, without quotes and stops at their edges."""
+    """Base spans, and all spans: the tagged ones are added, without quotes and stops at their edges, but for those inside a base span.
+
+    A tagged span may overlap base spans, which stay as they are: what it holds beyond them counts too.
+    """
     tagged = tagger.tag([WORD.findall(t) for t in texts])
     out = []
     for text, found in zip(texts, tagged):
@@ -366,7 +369,7 @@ def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list[Span], list[S
                     start += 1
                 while end > start and text[end - 1] in _EDGES:
                     end -= 1
-                if start < end and all(end <= b.start or b.end <= start for b in base):
+                if start < end and not any(b.start <= start and end <= b.end for b in base):
                     spans.append(Span("crf", start, end))
         out.append((base, sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind)))))
     return out
