@@ -184,6 +184,17 @@ def test_tagged_spans_count_beyond_the_base_spans_they_overlap():
     assert same == own and len(own) == 1
 
 
+def test_field_is_trained_where_secrets_are_rare(spark):
+    pick = random.Random(4)
+    texts = [" ".join(pick.choice(["the", "of", "Anblewh", "sttible,", "12"]) for _ in range(30)) for _ in range(400)]
+    texts[7] += f" password={pick.getrandbits(64):016x} of"
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], SCHEMA)
+    assert docs.where("doc_id = 7").selectExpr("xxhash64(text) as h").crossJoin(
+        docs.selectExpr("xxhash64(text) as other")).where("other < h").count() >= 20
+    assert secret_scan.fit(docs, texts=20).own
+    assert not secret_scan.fit(docs.where("doc_id <> 7"), texts=20).own
+
+
 def test_scan_and_redaction_of_odd_rows(spark):
     rows = odd_rows()
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as mark", "2 as spans")

@@ -31,6 +31,8 @@ REDACTED = "[REDACTED]"
 
 #: Distinct texts of the training sample, those with the smallest hashes, and windows of each text.
 SAMPLE_TEXTS, SAMPLE_WINDOWS, WINDOW = 3000, 4, 21
+#: Distinct texts with a base match, those with the smallest hashes, that the sample holds besides.
+SAMPLE_HOLDING = 300
 #: Steps, step size and penalty of the training.
 STEPS, STEP_SIZE, PENALTY = 150, 0.2, 1e-4
 
@@ -386,14 +388,24 @@ def redact(text: str, spans: list[Span]) -> str:
     return "".join(parts) + text[at:]
 
 
-def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> Model:
-    """Train on the ``texts`` distinct texts with the smallest hashes: the only part that a sample decides.
+def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS, holding: int = SAMPLE_HOLDING) -> Model:
+    """Train on a sample in two parts: the only part that a sample decides.
 
+    The ``texts`` distinct texts with the smallest hashes show how common secrets are, and the ``holding`` ones
+    of those with a base match are examples wherever the table has any, however rare. A text can be in both and counts once.
     The driver gets their windows, at most SAMPLE_WINDOWS + 1 of WINDOW words each.
     """
     pin(docs.sparkSession)
     rows = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("mark"), "text")
+
+    def matched(batches):
+        for batch in batches:
+            marks, own = (batch.column(i).to_pylist() for i in (0, 1))
+            yield pa.RecordBatch.from_pydict({"mark": pa.array([m for m, t in zip(marks, own) if base_spans(t)], pa.int64())})
+
     chosen = rows.select("mark").distinct().orderBy("mark").limit(texts)
+    matches = rows.mapInArrow(matched, "mark long").distinct().orderBy("mark").limit(holding)
+    chosen = chosen.union(matches).distinct()
 
     def windows(batches):
         for batch in batches:
