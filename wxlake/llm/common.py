@@ -43,6 +43,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written step whose readers are done; later steps have been written from it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def small_side(df: DataFrame, label: str, most: int = BROADCAST_BYTES) -> DataFrame:
     """A side of a join, written, and broadcast if it is measured to be at most ``most`` bytes as text."""
     df = materialise(df, label)

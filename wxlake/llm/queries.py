@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wxlake.llm import jaccard, line_dedup, packing, pieces, quality, secret_scan, substrings, token_counts, top_k, url_filter
+from wxlake.llm import (
+    article_text, jaccard, line_dedup, manifest, packing, pieces, quality, secret_scan, substrings, token_counts, top_k, url_filter,
+    vector_codes,
+)
 from wxlake.llm.common import table
+from wxlake.llm.manifest_sql import PROVE
+from wxlake.llm.vector_codes_sql import CODES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,4 +168,19 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return top_k.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@query("op11_vector_codes", CODES)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf, "embeddings"))
+
+
+@query("op12_merkle_manifest", PROVE)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest.prove(table(spark, sf, "documents"), manifest.lower_case_tampering())
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return article_text.extract(table(spark, sf, "pages")).select("row.page_id", "row.url", F.col("article").alias("text"), F.length("article").cast("long").alias("n_chars"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
