@@ -48,6 +48,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     streams = {
         "landing": "stream of messages to the raw layer",
         "live-table": "stream of messages to the newest row of each city",
+        "live-changes": "stream of messages to a log of the cities that change",
         "publish": "a business table to a topic",
     }
     for name, text in streams.items():
@@ -58,6 +59,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+STREAMS = {"landing": jobs.start_landing, "live-table": jobs.start_live_table, "live-changes": jobs.start_live_changes}
+
+
 def run(spark, args: argparse.Namespace) -> None:
     lake = jobs.Lake(args.lake)
     if args.job == "observations":
@@ -69,10 +73,9 @@ def run(spark, args: argparse.Namespace) -> None:
         print(jobs.build_grid(spark, lake, args.complete_only), "rows")
     elif args.job == "alerts":
         print(jobs.build_alerts(spark, lake), "rows")
-    elif args.job in ("landing", "live-table"):
+    elif args.job in STREAMS:
         messages = live.kafka_source(spark, args.servers, args.topic)
-        start = jobs.start_landing if args.job == "landing" else jobs.start_live_table
-        start(lake, messages).awaitTermination()
+        STREAMS[args.job](lake, messages).awaitTermination()
     elif args.job == "publish":
         live.publish(spark.read.parquet(lake.business(args.table)), args.servers, args.topic)
     elif args.job == "report":

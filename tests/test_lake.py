@@ -228,6 +228,8 @@ def test_streams_of_a_lake_feed_the_batch_jobs(spark, tmp_path):
     stream = spark.read.parquet(lake.business("live_latest"))
     assert rows_of(stream, "obs_time", "gloom_live") == rows_of(batch, "obs_time", "gloom_live")
     assert stream.collect()[0].temperature == 39.0
+    jobs.start_live_changes(lake, messages, available_now=True)
+    assert rows_of(jobs.live_changes(spark, lake), "obs_time", "gloom_live") == rows_of(batch, "obs_time", "gloom_live")
 
 
 def test_job_command_line(spark, lake, capsys):

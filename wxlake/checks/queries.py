@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 from datetime import date, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from wxlake.plans import lake as jobs
 from wxlake.session import fresh_folder, pin_session
 from wxlake.sources import layers, raw
 from wxlake.streaming import live as streams
+from wxlake.streaming import log as stream_log
+from wxlake.streaming import state as stream_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1651,6 +1654,107 @@ def _(spark, sf):
     return _plain_time(latest.select(*keys, "gloom_live"), "obs_time")
 
 
+def _timed_stream(spark, sf, end: bool = False):
+    """Messages as a stream in four batches by time, and the time that it must wait for late rows.
+
+    A tenth of the messages of each batch comes with the next one, and a tenth comes in both. With ``end``, a row of a
+    far day closes the feed.
+    """
+    ends = b.table(spark, sf, "events").agg(F.min("ts").cast("timestamp").alias("a"), F.max("ts").cast("timestamp").alias("z")).first()
+    quarter = int((ends.z - ends.a).total_seconds() / 4) + 1
+
+    def write(folder):
+        lines = spark.read.text(f"{b.stage_messages(spark, sf)}/*").select("value")
+        sent = F.get_json_object("value", "$.ingested_at").cast("timestamp")
+        own = F.floor((F.unix_timestamp(sent) - F.unix_timestamp(F.lit(ends.a))) / quarter).cast("int")
+        late = F.pmod(F.xxhash64("value"), F.lit(10))
+        turns = F.when(late == 0, F.array(F.least(own + 1, F.lit(3)))).when(
+            late == 1, F.array_distinct(F.array(own, F.least(own + 1, F.lit(3))))).otherwise(F.array(own))
+        dealt = lines.select("value", F.explode(turns).alias("turn"))
+        for turn in range(4):  # one write after the other, as files are read by age
+            dealt.filter(F.col("turn") == turn).select("value").repartition(2, "value").write.mode("append").text(f"{folder}/feed")
+        last = spark.sql("""SELECT '{"ingested_at": "9000-01-01T00:00:00Z", "time": "9000-01-01T00:00"}' AS value""")
+        last.coalesce(1).write.text(f"{folder}/end")
+
+    folder = b.staged(spark, sf, "timed-messages", write)
+    path = f"{folder}/{{feed,end}}" if end else f"{folder}/feed"
+    lines = streams.file_source(spark, path, "value string", "text", files_per_batch=2)
+    # A message of the quarter before may be as old as that quarter's start.
+    return _lines_as_messages(lines), f"{quarter + 3600} seconds"
+
+
+def _live_columns(messages: DataFrame) -> DataFrame:
+    return streams.live_rows(messages).select("station_id", "obs_time", "ingested_at", "gloom_live")
+
+
+@query("stream_state_dedup", """
+    SELECT station_id, obs_time, gloom_live FROM (
+      SELECT *, row_number() OVER (PARTITION BY station_id, obs_time ORDER BY ingested_at DESC, gloom_live DESC) AS rn
+      FROM stream_scored) WHERE rn = 1""")
+def _(spark, sf):
+    """Newest poll per city and quarter hour from a stream that sends each once, when it is over."""
+    folder = fresh_folder(spark, "closed")
+    messages, late = _timed_stream(spark, sf, end=True)
+    closed = stream_state.closed_newest(_live_columns(messages), ["station_id", "obs_time"], ["ingested_at"], "obs_time", late)
+    stream_state.append_closed(closed, f"{folder}/table", f"{folder}/checkpoint", available_now=True)
+    table = spark.read.schema(schemas.ddl(dict(closed.dtypes))).parquet(f"{folder}/table")
+    return _plain_time(table.select("station_id", "obs_time", "gloom_live"), "obs_time")
+
+
+@query("stream_repeats", """
+    SELECT cast(ts as date) AS ingest_date, count(*) AS n_rows FROM events GROUP BY 1""")
+def _(spark, sf):
+    """Messages of a stream without the repeated deliveries, counted by day."""
+    folder = fresh_folder(spark, "once")
+    messages, late = _timed_stream(spark, sf)
+    once = stream_state.drop_repeats(messages, ["value"], "timestamp", late)
+    stream_state.append_closed(once, f"{folder}/table", f"{folder}/checkpoint", available_now=True)
+    table = spark.read.schema(schemas.ddl(dict(once.dtypes))).parquet(f"{folder}/table")
+    return layers.counts_by(table.select(F.to_date("timestamp").alias("ingest_date")), "ingest_date")
+
+
+@query("stream_state_latest", """
+    SELECT station_id, obs_time, ingested_at, gloom_live FROM (
+      SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY obs_time DESC, ingested_at DESC, gloom_live DESC) AS rn
+      FROM stream_scored) WHERE rn = 1""")
+def _(spark, sf):
+    """Live status from keyed state: a batch writes the cities that it changes, the log of changes is compacted."""
+    folder = fresh_folder(spark, "newest")
+    messages, late = _timed_stream(spark, sf)
+    changes = stream_state.newest_per_key(_live_columns(messages), "station_id", ["obs_time", "ingested_at"], "obs_time", late, "36500 days")
+    stream_log.write_log(
+        changes, f"{folder}/log", f"{folder}/checkpoint", ["station_id"], by_batch=True, mode="update", compact_every=2, available_now=True)
+    latest = stream_log.current_rows(spark, f"{folder}/log", dict(changes.dtypes), ["station_id"], by_batch=True)
+    return _plain_time(latest, "obs_time")
+
+
+@query("stream_compacted", """
+    SELECT station_id, obs_time, gloom_live FROM (
+      SELECT *, row_number() OVER (PARTITION BY station_id, obs_time ORDER BY ingested_at DESC, gloom_live DESC) AS rn
+      FROM stream_scored) WHERE rn = 1""")
+def _(spark, sf):
+    """Newest poll per city and quarter hour from a log that is folded into snapshots; one batch fails before its commit."""
+    folder = fresh_folder(spark, "folded")
+    keys, newest = ["station_id", "obs_time"], ["ingested_at"]
+    rows = streams.live_rows(_message_stream(spark, sf)).select(*keys, *newest, "gloom_live")
+    failed = []
+
+    def fail_once(number):
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("stopped before the commit")
+
+    for _ in range(2):
+        try:
+            stream_log.write_log(
+                rows, f"{folder}/log", f"{folder}/checkpoint", keys, newest, compact_every=2, after=fail_once, available_now=True)
+        except StreamingQueryException:
+            if failed != [1]:
+                raise
+    latest = stream_log.current_rows(spark, f"{folder}/log", dict(rows.dtypes), keys, newest)
+    return _plain_time(latest.select(*keys, "gloom_live"), "obs_time")
+
+
 @query("stream_rate", """
     SELECT time_bucket(interval 5 minutes, ts) AS window_start, count(*) AS n, count(*) / 300e0 AS per_second
     FROM events GROUP BY 1""")

@@ -16,7 +16,7 @@ from wxlake.operators import clean, compare, dedup, episodes, ranking, rollup, s
 from wxlake.session import fresh_folder
 from wxlake.sources import layers, raw
 from wxlake.spec import ALERT_ARCHIVE_START, MAX_ELEVATION, MIN_HOURS, MIN_POINTS, IndexSpec
-from wxlake.streaming import live
+from wxlake.streaming import live, log, state
 
 YEAR_MONTH = {"year": "int", "month": "int"}
 SOURCES = ("official", "live")
@@ -248,6 +248,27 @@ def start_live_table(
     )
 
 
+def start_live_changes(
+    lake: Lake, messages: DataFrame, late: str = "1 day", silent: str = "2 days", available_now: bool = False,
+    trigger: str = live.TRIGGER,
+) -> StreamingQuery:
+    """Log the cities whose newest scored row changes, from state kept by city; see ``live_changes``.
+
+    A batch costs its own cities. A city without readings for ``silent`` leaves the table.
+    """
+    changes = state.newest_per_key(live.live_rows(messages), "station_id", ["obs_time", "ingested_at"], "obs_time", late, silent)
+    return log.write_log(
+        changes, lake.business("live_changes"), lake.checkpoint("live_changes"), ["station_id"], by_batch=True, mode="update",
+        available_now=available_now, trigger=trigger)
+
+
+def live_changes(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The newest scored row of each city that is not silent, from the log of changes."""
+    empty = live.live_rows(layers.empty_table(spark, {"value": "string"}))
+    schema = {**dict(empty.dtypes), state.GONE: "boolean"}
+    return log.current_rows(spark, lake.business("live_changes"), schema, ["station_id"], by_batch=True)
+
+
 def table_counts(spark: SparkSession, lake: Lake, tables: list[str]) -> DataFrame:
     """Row count of each business table; absent tables are left out."""
     stored = {t: layers.optional_table(spark, lake.business(t)) for t in tables}
