@@ -198,6 +198,16 @@ def test_a_batch_that_fails_before_its_commit_is_neither_lost_nor_doubled(spark,
         assert rows.count() == sum(map(len, batches)) and rows.select(F.count_distinct("k", "t")).first()[0] == rows.count()
 
 
+def test_ties_do_not_depend_on_the_batch(spark, tmp_path):
+    columns = "k int, t int, v int"
+    for i, v in enumerate((5, 9, 7)):
+        spark.createDataFrame([(1, 1, v)], columns).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = live.file_source(spark, str(tmp_path / "in"), columns, files_per_batch=1)
+    log.write_log(stream, str(tmp_path / "log"), str(tmp_path / "mark"), ["k"], ["t"], compact_every=1, available_now=True)
+    schema = {"k": "int", "t": "int", "v": "int"}
+    assert rows_of(log.current_rows(spark, str(tmp_path / "log"), schema, ["k"], ["t"])) == [(1, 1, 9)]
+
+
 def test_an_empty_log(spark, tmp_path):
     assert read_log(spark, tmp_path) == []
     assert log.compact(spark, str(tmp_path / "log"), SCHEMA, ["k"], ["t"]) is None

@@ -52,7 +52,9 @@ def _read(spark: SparkSession, folders: Sequence[str], schema: Schema) -> DataFr
 
 
 def _folded(rows: DataFrame, keys: Sequence[str], newest: Sequence[str], by_batch: bool) -> DataFrame:
-    return latest_per_key(rows, keys, [BATCH] if by_batch else [*newest])
+    # Ties go by the rows' own columns, so they do not depend on how rows fell into batches.
+    own = sorted(set(rows.columns) - {*keys, *newest, BATCH})
+    return latest_per_key(rows, keys, [BATCH], own) if by_batch else latest_per_key(rows, keys, newest, [*own, BATCH])
 
 
 def current_rows(
