@@ -16,7 +16,7 @@ from wxlake.checks import oracle as o
 from wxlake.checks.oracle import rnd, sql
 from wxlake.functions import dates, geo, labels, numbers
 from wxlake.operators import (
-    alerts, clean, compare, dedup, episodes, lots, maps, profile, ranking, rollup, serve,
+    alerts, clean, compare, dedup, episodes, forecast, history, joins, lots, maps, profile, ranking, rollup, serve,
 )
 from wxlake.plans import lake as jobs
 from wxlake.session import fresh_folder, pin_session
@@ -728,6 +728,135 @@ def _(spark, sf):
     return maps.interpolate(points, IDW_ROWS, IDW_COLUMNS)
 
 
+@query("overlap_join", f"""
+    SELECT p.o_orderkey AS period_id, c_custkey AS request_id, dept, wanted_from, wanted_to FROM (
+      SELECT o_orderkey, {o.area('o_custkey % 25')} AS dept, cast(o_orderdate as date) AS starts,
+        CASE WHEN o_orderkey % 97 <> 0 THEN cast(o_orderdate as date) + cast(o_orderkey % 40 as integer) END AS ends FROM orders) p
+    JOIN (SELECT c_custkey, {o.area('c_nationkey')} AS dept, date '1993-01-01' + cast(c_custkey * 7 % 2000 as integer) AS wanted_from,
+        date '1993-01-01' + cast(c_custkey * 7 % 2000 + c_custkey % 30 as integer) AS wanted_to FROM customer) r USING (dept)
+    WHERE starts <= wanted_to AND coalesce(ends, date '9999-12-31') >= wanted_from""")
+def _(spark, sf):
+    """Periods as a table, one for each order and some of them open, with the requests that they cover in part."""
+    orders, customers = b.table(spark, sf, "orders"), b.table(spark, sf, "customer")
+    key, start = F.col("o_orderkey"), F.to_date("o_orderdate")
+    periods = orders.select(
+        key.alias("period_id"), b.area_code(F.col("o_custkey") % 25).alias("dept"), start.alias("starts"),
+        F.when(key % 97 != 0, F.date_add(start, (key % 40).cast("int"))).alias("ends"))
+    first, shift = F.lit("1993-01-01").cast("date"), F.col("c_custkey") * 7 % 2000
+    requests = customers.select(
+        F.col("c_custkey").alias("request_id"), b.area_code(F.col("c_nationkey")).alias("dept"),
+        F.date_add(first, shift.cast("int")).alias("wanted_from"),
+        F.date_add(first, (shift + F.col("c_custkey") % 30).cast("int")).alias("wanted_to"))
+    pairs = joins.overlap_join(requests, periods, ("wanted_from", "wanted_to"), ("starts", "ends"), ["dept"])
+    return pairs.select("period_id", "request_id", "dept", "wanted_from", "wanted_to")
+
+
+_VERSIONS = """(SELECT o_orderkey % 12 AS code, cast(o_orderdate as date) AS valid_from, max('symbol ' || cast(o_custkey % 50 as varchar)) AS symbol FROM orders GROUP BY 1, 2)"""
+
+
+def _symbol_versions(spark, sf):
+    orders = b.table(spark, sf, "orders")
+    return orders.select((F.col("o_orderkey") % 12).alias("code"), F.to_date("o_orderdate").alias("valid_from"),
+        F.concat(F.lit("symbol "), (F.col("o_custkey") % 50).cast("string")).alias("symbol"))
+
+
+@query("as_of_symbol", f"""
+    SELECT l_orderkey, l_linenumber, l.code, day, valid_from, symbol FROM (
+      SELECT l_orderkey, l_linenumber, l_partkey % 13 AS code, cast(l_shipdate as date) AS day FROM lineitem) l
+    ASOF LEFT JOIN {_VERSIONS} v ON l.code = v.code AND l.day >= v.valid_from""")
+def _(spark, sf):
+    """The symbol of each reading's code as it was at the time, from a table of codes that change."""
+    readings = b.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_partkey") % 13).alias("code"), F.to_date("l_shipdate").alias("day"))
+    return joins.as_of_join(readings, _symbol_versions(spark, sf), "day", "valid_from", ["code"])
+
+
+@query("step_lookup", """
+    SELECT event_id, v.value, bound, label FROM (SELECT event_id, (event_id * 37 % 1000) / 10e0 AS value FROM events) v
+    ASOF LEFT JOIN (SELECT cast(c_custkey as double) * 3 % 90 + 5 AS bound, max(c_name) AS label FROM customer GROUP BY 1) s
+      ON v.value >= s.bound""")
+def _(spark, sf):
+    """The label of the highest step reached, from a table of steps."""
+    values = b.table(spark, sf, "events").select("event_id", (F.col("event_id") * 37 % 1000 / 10.0).alias("value"))
+    steps = b.table(spark, sf, "customer").select((F.col("c_custkey").cast("double") * 3 % 90 + 5).alias("bound"), F.col("c_name").alias("label"))
+    return joins.step_lookup(values, steps, "value", "bound", bin_of=F.floor("value"))
+
+
+# -- a day against its history --------------------------------------------------
+
+TENTHS = "cast(round(cast({} as decimal(28,8)), 1) * 10 as bigint)"
+
+
+def _year_start(spark, sf):
+    """First day of the year of the last day."""
+    return F.trunc(_last_day(spark, sf), "year")
+
+
+@query("history_percentile", f"""
+    SELECT t.dept, t.obs_date, t.gloom, nullif(count(h.u), 0) AS n_history,
+      {rnd('100e0 * count(CASE WHEN h.u <= t.u THEN 1 END) / nullif(count(h.u), 0)', 2)} AS percentile,
+      {rnd('CASE WHEN stddev_pop(h.u) > 1e-6 THEN (t.u - avg(h.u)) / stddev_pop(h.u) END', 3)} AS z_score,
+      CASE WHEN t.u > max(h.u) THEN 'high' WHEN t.u < min(h.u) THEN 'low' END AS record
+    FROM (SELECT *, {TENTHS.format('gloom')} AS u FROM daily, anchor WHERE year = y) t
+      LEFT JOIN (SELECT dept, month, {TENTHS.format('gloom')} AS u FROM daily, anchor WHERE year < y) h
+      ON t.dept = h.dept AND t.month = h.month AND t.u IS NOT NULL
+    GROUP BY t.dept, t.obs_date, t.gloom, t.u""")
+def _(spark, sf):
+    """Days of the last year among the days of the same month of all years before. Two parts of the history are merged."""
+    daily, start = _daily(spark, sf), _year_start(spark, sf)
+    past = daily.filter(F.col("obs_date") < start)
+    early, late = past.filter("year % 2 = 0"), past.filter("year % 2 = 1")
+    counts = history.merged(history.distribution(early, "gloom"), history.distribution(late, "gloom"))
+    days = daily.filter(F.col("obs_date") >= start).select("dept", "month", "obs_date", "gloom")
+    return history.standing(days, counts, "gloom").drop("month")
+
+
+@query("records_broken", f"""
+    SELECT t.dept, t.month, t.year, min(d.obs_date) AS obs_date, t.u / 10e0 AS record, t.earlier / 10e0 AS before FROM (
+      SELECT n.dept, n.month, n.year, n.u, max(p.u) AS earlier
+      FROM (SELECT dept, month, year, max({TENTHS.format('gloom')}) AS u FROM daily GROUP BY 1, 2, 3) n
+        JOIN (SELECT dept, month, year, max({TENTHS.format('gloom')}) AS u FROM daily GROUP BY 1, 2, 3) p
+        ON n.dept = p.dept AND n.month = p.month AND p.year < n.year
+      GROUP BY 1, 2, 3, 4 HAVING n.u > max(p.u)) t
+    JOIN daily d ON d.dept = t.dept AND d.month = t.month AND d.year = t.year AND {TENTHS.format('d.gloom')} = t.u
+    GROUP BY t.dept, t.month, t.year, t.u, t.earlier""")
+def _(spark, sf):
+    return history.records_broken(_daily(spark, sf), "gloom")
+
+
+@query("rolling_rain", f"""
+    SELECT dept, obs_date, precip_mm, {', '.join(
+        f"{rnd(f'sum(precip_mm) OVER w{n}', 1)} AS sum_{n}d, count(precip_mm) OVER w{n} = {n} AS complete_{n}d" for n in (3, 7, 30))}
+    FROM daily WINDOW {', '.join(
+        f"w{n} AS (PARTITION BY dept ORDER BY obs_date RANGE BETWEEN INTERVAL {n - 1} DAYS PRECEDING AND CURRENT ROW)" for n in (3, 7, 30))}""")
+def _(spark, sf):
+    """Rain of the last 3, 7 and 30 calendar days; the series have gaps and are cut into stretches of two years."""
+    return history.rolling_totals(_daily(spark, sf), "precip_mm", stretch=730)
+
+
+_NEXT = """(SELECT a.dept, a.obs_date, a.{0} AS x, a.{0} AS today, b.{0} AS y FROM daily a JOIN daily b
+      ON a.dept = b.dept AND b.obs_date = a.obs_date + 1 WHERE a.{0} IS NOT NULL AND b.{0} IS NOT NULL)"""
+_COEFFICIENTS = f"""SELECT dept, count(*) AS n, regr_intercept(y, x) AS c0, regr_slope(y, x) AS c1
+      FROM {_NEXT.format('temp_avg')}, (SELECT y AS last_year FROM anchor) WHERE year(obs_date + 1) < last_year GROUP BY dept"""
+
+
+@query("next_day_fit", f"SELECT dept, n, {rnd('c0', 4)} AS intercept, {rnd('c1', 4)} AS slope_0 FROM ({_COEFFICIENTS})")
+def _(spark, sf):
+    found = forecast.fit(_daily(spark, sf), "temp_avg", ["temp_avg"], _year_start(spark, sf))
+    return found.select("dept", "n", *[numbers.stable_round(F.col(c), 4).alias(c) for c in ("intercept", "slope_0")])
+
+
+@query("next_day_skill", f"""
+    SELECT *, mae_fit < mae_persistence AS better FROM (
+      SELECT d.dept, count(*) AS n_days, {rnd('avg(abs(c0 + c1 * x - d.y))', 3)} AS mae_fit,
+        {rnd('avg(abs(today - d.y))', 3)} AS mae_persistence
+      FROM {_NEXT.format('temp_avg')} d JOIN ({_COEFFICIENTS}) c ON d.dept = c.dept, anchor
+      WHERE year(obs_date + 1) >= anchor.y GROUP BY d.dept)""")
+def _(spark, sf):
+    """Tomorrow's mean temperature from today's, judged on the last year against persistence."""
+    return forecast.skill(_daily(spark, sf), "temp_avg", ["temp_avg"], _year_start(spark, sf))
+
+
 # -- aggregates ----------------------------------------------------------------
 
 DAILY0 = "dept, obs_date, temp_min, temp_max, precip_mm, wind_ms, gust_ms, sunshine_min, humidity_pct, fog, n_stations"
@@ -911,14 +1040,16 @@ def _(spark, sf):
 
 
 @query("approx_distinct_count", """
-    SELECT dept, count(DISTINCT station_id) > 0 AS some, true AS near FROM obs GROUP BY dept""")
+    SELECT dept, CASE WHEN count(DISTINCT station_id) <= 100 THEN count(DISTINCT station_id) END AS n_small, true AS near
+    FROM obs GROUP BY dept""")
 def _(spark, sf):
-    """The approximate count is within a fifth of the exact one."""
+    """Approximate counts: equal to the exact ones for small groups, within five standard errors for all others."""
     rows = b.observations(spark, sf)
     exact = profile.distinct_count(rows, "station_id", ["dept"])
-    found = profile.distinct_count(rows, "station_id", ["dept"], approx=True).withColumnRenamed("n_distinct", "n_near")
+    found = profile.distinct_count(rows, "station_id", ["dept"], approx=True, error=0.01).withColumnRenamed("n_distinct", "n_near")
     off = F.abs(F.col("n_near") - F.col("n_distinct"))
-    return exact.join(found, "dept").select("dept", (F.col("n_near") > 0).alias("some"), (off * 5 <= F.col("n_distinct")).alias("near"))
+    return exact.join(found, "dept").select(
+        "dept", F.when(F.col("n_distinct") <= 100, F.col("n_near")).alias("n_small"), (off <= 0.05 * F.col("n_distinct")).alias("near"))
 
 
 @query("area_month_profile", f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from wxlake.functions.numbers import stable_round
 from wxlake.session import fresh_folder
 
+# Standard error of approximate distinct counts, as a share of the count.
+RELATIVE_ERROR = 0.01
 # Rows of a part that one task puts in order.
 PART_ROWS = 100_000
 
@@ -32,9 +35,22 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n"))
 
 
-def distinct_count(df: DataFrame, column: str, keys: Sequence[str] = (), approx: bool = False) -> DataFrame:
-    count = F.approx_count_distinct if approx else F.count_distinct
-    return df.groupBy(*keys).agg(count(F.col(column)).alias("n_distinct"))
+def distinct_count(
+    df: DataFrame, column: str, keys: Sequence[str] = (), approx: bool = False, error: float = RELATIVE_ERROR
+) -> DataFrame:
+    """Distinct values per key, exact or by a sketch.
+
+    The sketch's standard error is ``error`` of a count, at most. Below a few hundred values (more with a smaller
+    error) it holds the values' hashes, so the count of a small group is exact. Its size is bounded, and sketches of
+    other rows can be merged.
+    """
+    if not approx:
+        return df.groupBy(*keys).agg(F.count_distinct(F.col(column)).alias("n_distinct"))
+    bits = min(21, max(4, math.ceil(2 * math.log2(1.04 / error))))
+    text = F.col(column).cast("string")
+    # A group without values has a NULL sketch.
+    count = F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(text, F.lit(bits))), F.lit(0).cast("bigint"))
+    return df.groupBy(*keys).agg(count.alias("n_distinct"))
 
 
 def min_max_distinct(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
