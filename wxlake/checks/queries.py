@@ -16,7 +16,7 @@ from wxlake.checks import oracle as o
 from wxlake.checks.oracle import rnd, sql
 from wxlake.functions import dates, geo, labels, numbers
 from wxlake.operators import (
-    alerts, clean, compare, dedup, episodes, forecast, history, joins, lots, maps, profile, ranking, rollup, serve,
+    alerts, clean, compare, dedup, episodes, fields, forecast, history, joins, lots, maps, profile, ranking, rollup, serve,
 )
 from wxlake.plans import lake as jobs
 from wxlake.session import fresh_folder, pin_session
@@ -728,6 +728,24 @@ def _(spark, sf):
     return maps.interpolate(points, IDW_ROWS, IDW_COLUMNS)
 
 
+@query("idw_all_stations", f"""
+    SELECT obs_date, r AS row, c AS col, {rnd('lat', 4)} AS lat, {rnd('lon', 4)} AS lon, {rnd('sum(w * v) / sum(w)', 3)} AS value
+    FROM (SELECT *, 1 / pow(sqrt(pow(lat - slat, 2) + pow((lon - slon) * cos(radians(46.5e0)), 2)) + 0.05e0, 2.5e0) AS w
+      FROM (SELECT degrees(atan(exp(yn + r / {IDW_ROWS - 1}e0 * (ys - yn)))) * 2 - 90 AS lat,
+              -5.6e0 + c / {IDW_COLUMNS - 1}e0 * (10e0 + 5.6e0) AS lon, r, c
+            FROM (SELECT cast(i as integer) AS r FROM range({IDW_ROWS}) t(i)), (SELECT cast(i as integer) AS c FROM range({IDW_COLUMNS}) t(i)),
+              (SELECT ln(tan(pi() / 4 + radians(51.4e0) / 2)) AS yn, ln(tan(pi() / 4 + radians(41.2e0) / 2)) AS ys)) px,
+        (SELECT obs_date, station_id, any_value(latitude) AS slat, any_value(longitude) AS slon, avg(temperature) AS v
+         FROM obs WHERE temperature IS NOT NULL GROUP BY 1, 2) st)
+    GROUP BY 1, 2, 3, lat, lon""")
+def _(spark, sf):
+    """A map of each day from all stations; blocks are small, so that several of each meet."""
+    obs = b.observations(spark, sf)
+    stations = obs.select(F.col("station_id").alias("station"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon")).distinct()
+    readings = obs.select("obs_date", F.col("station_id").alias("station"), F.col("temperature").alias("value"))
+    return fields.interpolate_stations(readings, stations, IDW_ROWS, IDW_COLUMNS, pixels=16, per_block=32)
+
+
 @query("overlap_join", f"""
     SELECT p.o_orderkey AS period_id, c_custkey AS request_id, dept, wanted_from, wanted_to FROM (
       SELECT o_orderkey, {o.area('o_custkey % 25')} AS dept, cast(o_orderdate as date) AS starts,
