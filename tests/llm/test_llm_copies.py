@@ -1,6 +1,7 @@
 """Substring dedup, Jaccard join, components and line dedup against brute force."""
 
 import random
+from hashlib import md5
 
 import pytest
 
@@ -89,15 +90,27 @@ def test_join_without_rows_or_links(spark):
     assert sorted(map(tuple, jaccard.join(spark.createDataFrame(rows, SCHEMA)).collect())) == [(1, 2, 1, 0), (2, 2, 2, 0)]
 
 
+def one_of_each(rows):
+    """doc_id and text of the rows that stay, by linking rows under ids of their own."""
+    own = sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: (r[0], md5((r[1] or "").encode()).digest()))
+    parts = linked([(i, text) for i, (_, text) in enumerate(own)])
+    return sorted([own[i] for i, _, component, _ in parts if i == component] + [r[:2] for r in rows if r[0] is None], key=repr)
+
+
 def test_one_document_of_each_group(spark):
     rows = random_rows(11, groups=10) + odd_rows()
-    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as component_id", "'x' as row")
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as component_id", "'x' as row", "2 as digest", "3 as node")
     kept = jaccard.one_of_each(docs, chunk_bytes=4000)
     assert kept.columns == docs.columns
-    found = kept.collect()
-    want = {d for d, _, component, _ in linked(rows) if d is not None and d == component}
-    assert sorted(r.doc_id for r in found if r.doc_id is not None) == sorted(want)
-    assert sum(r.doc_id is None for r in found) == 2
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == one_of_each(rows)
+
+
+def test_other_texts_of_an_id_stay(spark):
+    rows = [(1, "alpha beta gamma delta"), (1, "wholly other words stand here"), (1, "alpha beta gamma delta"), (2, "wholly other words stand here"),
+            (2, "a third text of its own"), (3, ""), (3, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r.doc_id, r.text or "") for r in jaccard.one_of_each(docs).collect()), key=repr)
+    assert found == [(1, "alpha beta gamma delta"), (1, "wholly other words stand here"), (2, "a third text of its own"), (3, "")]
 
 
 def test_join_query(spark):

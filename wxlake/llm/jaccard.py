@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from wxlake.llm.chunks import (
     BUCKET_BYTES, NAMES, Chunk, Sizes, among, chunk_of, chunked, common_names, names_table, told_names,
 )
-from wxlake.llm.common import materialise
+from wxlake.llm.common import materialise, text_bytes
 from wxlake.llm.fingerprints import mix, run_hashes, word_hashes, word_spans
 from wxlake.llm.graphs import components
 
@@ -26,7 +28,7 @@ SLICE = 4096
 PREFIX_BYTES = 0.35
 
 DIGESTS = "doc_id long, n long, node binary"
-SETS = "doc_id long, n long, node binary, tokens binary"
+SETS = "doc_id long, digest binary, n long, node binary, tokens binary"
 COUNTS = "bucket int, chunk int, names binary, counts binary"
 ANSWERS = "chunk int, names binary, counts binary"
 SIGNATURES = "node binary, signature long"
@@ -109,7 +111,7 @@ def _prefix_names(size: int, percent: int, buckets: int):
 def _surviving_sets(size: int, percent: int):
     def surviving(table: pa.Table, told: pa.Table) -> pa.Table:
         """All documents; the tokens of those sets whose prefix shares enough tokens with other sets."""
-        empty = {"doc_id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "node": pa.array([], pa.binary()), "tokens": pa.array([], pa.binary())}
+        empty = {"doc_id": pa.array([], pa.int64()), "digest": pa.array([], pa.binary()), "n": pa.array([], pa.int64()), "node": pa.array([], pa.binary()), "tokens": pa.array([], pa.binary())}
         if not table.num_rows:
             return pa.table(empty)
         chunk = Chunk(table)
@@ -121,7 +123,8 @@ def _surviving_sets(size: int, percent: int):
             if shared >= extra(least_common(len(sets[i]), percent)):
                 tokens[i] = sets[i].tobytes()
         return pa.table({
-            "doc_id": pa.array(chunk.doc_ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
+            "doc_id": pa.array(chunk.doc_ids, pa.int64()), "digest": pa.array([md5(t.as_buffer()).digest() for t in chunk.texts], pa.binary()),
+            "n": pa.array([len(s) for s in sets], pa.int64()),
             "node": pa.array([node_of(s) if len(s) and d is not None else None for s, d in zip(sets, chunk.doc_ids)], pa.binary()),
             "tokens": pa.array(tokens, pa.binary())})
 
@@ -349,21 +352,9 @@ def _tiles(members: DataFrame, clusters: DataFrame) -> DataFrame:
     return alone.select(*columns).unionByName(spread.select(*columns))
 
 
-def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, chunk_bytes: int | None = None) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``n_links`` of every row.
-
-    A document's set holds the distinct runs of ``shingle`` words, A-Z lower-cased. Two documents link if
-    100 * intersection >= percent * union. ``component_id`` is the smallest ``doc_id`` that links reach, ``n_links``
-    counts the linked documents. Documents without words, or null texts, link with nothing. Rows
-    without ``doc_id`` link with nothing and have a null component. Repeated rows are documents each.
-
-    1. Equal sets form a class; from here on a class is one set, a node.
-    2. Each set sends its tokens with the smallest hashes, twice as many as a linked set may miss; a set of which
-       too few of them occur elsewhere has no partner.
-    3. Of the others, all tokens are counted, and signatures made of rare tokens and of pairs of frequent ones.
-    4. Sets that share signatures form candidate clusters. Each pair of a cluster is verified in exactly
-       one tile; a tile returns the links' numbers and edges that connect what they connect, not the pairs.
-    """
+def linked_sets(docs: DataFrame, shingle: int, percent: int, chunk_bytes: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows of documents with ``doc_id``, ``digest`` of the text, ``n`` and ``node``, their set; and of each node ``of`` its
+    ``component``, the smallest ``component_id`` and ``n_links``. See ``join``."""
     sizes = Sizes(docs, chunk_bytes)
     parts = chunked(docs, sizes.chunks)
     digests = parts.groupBy("chunk").applyInArrow(_digests(shingle), DIGESTS)
@@ -396,22 +387,45 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, chunk_
     answer = classes.join(joined, "node", "left").join(links, "node", "left")
     least = answer.where("root is not null").groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("least"))
     answer = answer.join(least, F.col("root") == F.col("r"), "left").select(
-        F.col("node").alias("of"), F.coalesce("least", "rep").alias("component_id"),
+        F.col("node").alias("of"), F.coalesce("root", "node").alias("component"), F.coalesce("least", "rep").alias("component_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return found.drop("tokens").join(answer, F.col("node") == F.col("of"), "left").select(
+    return found.drop("tokens"), answer
+
+
+def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, chunk_bytes: int | None = None) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``n_links`` of every row.
+
+    A document's set holds the distinct runs of ``shingle`` words, A-Z lower-cased. Two documents link if
+    100 * intersection >= percent * union. ``component_id`` is the smallest ``doc_id`` that links reach, ``n_links``
+    counts the linked documents. Documents without words, or null texts, link with nothing. Rows
+    without ``doc_id`` link with nothing and have a null component. Repeated rows are documents each.
+
+    1. Equal sets form a class; from here on a class is one set, a node.
+    2. Each set sends its tokens with the smallest hashes, twice as many as a linked set may miss; a set of which
+       too few of them occur elsewhere has no partner.
+    3. Of the others, all tokens are counted, and signatures made of rare tokens and of pairs of frequent ones.
+    4. Sets that share signatures form candidate clusters. Each pair of a cluster is verified in exactly
+       one tile; a tile returns the links' numbers and edges that connect what they connect, not the pairs.
+    """
+    found, answer = linked_sets(docs, shingle, percent, chunk_bytes)
+    return found.join(answer, F.col("node") == F.col("of"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, chunk_bytes: int | None = None) -> DataFrame:
-    """One row of each group of linked documents: that with the smallest ``doc_id``.
+    """One row of each group of linked documents: that with the smallest ``doc_id``, of equal ids that with the smallest digest of its text.
 
-    Rows with equal ``doc_id`` count as one document and one of them stays. Rows without ``doc_id`` stay.
+    Rows with equal ``doc_id`` and text are one document. Rows with equal ``doc_id`` and other texts are documents of their own, and
+    go only if they are linked with another one. Rows without ``doc_id``, and without words, link with nothing and stay.
     """
-    found = join(docs, shingle, percent, chunk_bytes)
-    keep = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
-        F.bool_or(F.col("doc_id") == F.col("component_id")).alias("keep")).where("keep").select("id")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"))
-    first = Window.partitionBy("id").orderBy(F.xxhash64("row.text"))
-    kept = rows.where("id is not null").join(keep, "id", "left_semi").withColumn("place", F.row_number().over(first))
+    found, answer = linked_sets(docs, shingle, percent, chunk_bytes)
+    known = found.where("doc_id is not null").select(F.struct("doc_id", "digest").alias("own"), "node")
+    best = known.where("node is not null").join(answer, F.col("node") == F.col("of")).groupBy("component").agg(F.min("own").alias("own"))
+    keep = best.select("own.*").unionByName(known.where("node is null").select("own.*").distinct())
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), F.unhex(F.md5(text_bytes())).alias("of_text"))
+    same = (F.col("id") == F.col("doc_id")) & (F.col("of_text") == F.col("digest"))
+    first = Window.partitionBy("id", "of_text").orderBy(F.xxhash64("row.text"))
+    kept = rows.where("id is not null").join(keep, same, "left_semi").withColumn("place", F.row_number().over(first))
     return kept.where("place = 1").select("row.*").unionByName(docs.where(docs["doc_id"].isNull()))

@@ -29,11 +29,24 @@ def usable(vectors: DataFrame, column: str = "embedding", key: str = "vec_id", s
     return vectors.where(whole & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("vec_id"), scaled.alias("v"))
 
 
+def _gathered(batches, size: int):
+    """Batches of ``size`` rows or a little more, whatever the size of those that come; the last may be smaller."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _packed(rows: DataFrame, size: int) -> DataFrame:
     """Up to ``size`` vectors of equal length in a row, by ascending id, as raw integers."""
 
     def pack(batches):
-        for batch in batches:
+        for batch in _gathered(batches, size):
             ids = batch.column(0).to_numpy()
             lists = batch.column(1)
             dims = np.diff(lists.offsets.to_numpy())
@@ -123,7 +136,7 @@ def _numbers(raw: bytes, width: int, dims: int, rows: int) -> np.ndarray:
 def _tiles(k: int):
     def tiles(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 q_ids, ids = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
                 q = _numbers(row["q"], row["q_width"], row["dims"], len(q_ids))
                 v = _numbers(row["vectors"], row["width"], row["dims"], len(ids))
@@ -176,15 +189,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, co
     Blocks of queries meet shards of vectors by an equi-join on groups of shards: each
     block is sent to each group once. A tile's lists are merged in a tree, about ``fan_in`` lists to a task.
     """
-    spark = pin(vectors.sparkSession)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(shard))
+    pin(vectors.sparkSession)
     rows = usable(vectors, column, key, scale)
     shards = materialise(_packed(rows, shard), "shards")
     picked = rows.where(is_query)
     # Queries are dealt to full blocks, as a task may hold few of them.
     blocks = materialise(_packed(picked.repartition(max(1, -(-picked.count() // block))), block), "blocks")
-    # From here on a row is a block, a shard or a list.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    # From here on a row is a block, a shard or a list; Spark cuts batches by their bytes (arrow.maxBytesPerBatch).
     n_shards = max(1, shards.count())
     groups = -(-n_shards // 4)
     group = F.pmod(F.xxhash64("pack"), F.lit(groups))
