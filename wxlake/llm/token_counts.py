@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wxlake.llm import bpe
-from wxlake.llm.common import pin
+from wxlake.llm.common import materialise, pin
 
 #: Lengths in one block of the suffix sums.
 BLOCK = 64
@@ -49,7 +49,8 @@ def suffix_sums(histogram: DataFrame, block: int = BLOCK) -> DataFrame:
     Sums run within blocks of lengths, then over the blocks, of which there are
     as many as the longest document has blocks, so no task holds all lengths.
     """
-    rows = histogram.select(
+    # Written, as it is used twice: the texts are encoded once.
+    rows = materialise(histogram, "length-histogram").select(
         "n_tokens", "n_docs",
         F.floor(F.col("n_tokens") / F.lit(block)).alias("block"),
         (F.col("n_tokens") * F.col("n_docs")).alias("tokens"),
