@@ -9,6 +9,7 @@ from conftest import rows_of
 
 from wxlake.functions import geo
 from wxlake.operators import fields, maps
+from wxlake.sources import layers
 
 START = dt.date(2024, 1, 1)
 
@@ -56,6 +57,16 @@ def test_few_stations_give_the_map_of_the_featured_cities(spark):
     assert rows_of(found) == rows_of(maps.interpolate(points, 6, 5))
 
 
+def test_folder_values_without_opening_files(spark, tmp_path):
+    for year, month in ((2023, 12), (2024, 1), (2024, 2)):
+        folder = tmp_path / f"year={year}" / f"month={month}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.parquet").write_text("no Parquet")  # reading it would fail
+        (folder / "notes.txt").write_text("x")
+    assert [tuple(r) for r in layers.folder_values(spark, str(tmp_path), ["year", "month"]).collect()] == [(2023, 12), (2024, 1), (2024, 2)]
+    assert [r.year for r in layers.folder_values(spark, str(tmp_path), ["year"]).collect()] == [2023, 2024]
+
+
 def test_blocks_are_bounded_and_empty_tables_have_no_map(spark):
     stations, readings = table(60, 3)
     placed = spark.createDataFrame(stations[:-1], "station string, lat double, lon double")

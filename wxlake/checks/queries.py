@@ -196,7 +196,7 @@ def _(spark, sf):
 
 @query("list_partitions", "SELECT DISTINCT cast(year(obs_date) as integer) AS year FROM obs")
 def _(spark, sf):
-    return layers.partition_values(layers.read_layer(spark, _layer(spark, sf), LAYER_SCHEMA), "year")
+    return layers.folder_values(spark, _layer(spark, sf), ["year"])
 
 
 @query("complete_lots_only", """

@@ -102,6 +102,15 @@ def partition_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
+def folder_values(spark: SparkSession, path: str, columns: Sequence[str], files: str = "*.parquet") -> DataFrame:
+    """Sorted distinct values of folder columns, from the names of folders; no data file is opened.
+
+    Spark lists the folders, in tasks when there are many of them, and asks for the names of their files only.
+    """
+    named = spark.read.format("binaryFile").option("pathGlobFilter", files).load(path)
+    return named.select(*columns).distinct().orderBy(*columns)
+
+
 def counts_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n_rows"))
 
