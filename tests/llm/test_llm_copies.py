@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from brute import SCHEMA, linked, odd_rows, random_rows, without_repeats
-from wxlake.llm import graphs, jaccard, line_dedup, queries, substrings
+from wxlake.llm import chunks, graphs, jaccard, line_dedup, queries, substrings
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,6 +24,49 @@ def test_repeated_windows(spark, window):
     assert sorted(map(tuple, found), key=repr) == without_repeats(rows, window)
 
 
+@pytest.mark.parametrize("checked", [False, True])
+@pytest.mark.parametrize("buckets, first", [(1, 4), (4, 4), (9, 9), (300, 7)])
+def test_names_in_common(spark, buckets, first, checked):
+    """Against counts of all names; with more buckets than ``first``, over relays of two chunks. Checks split equal names."""
+    from collections import Counter
+
+    import numpy as np
+    import pyarrow as pa
+
+    pick = np.random.default_rng(buckets)
+    pool = pick.integers(0, 2**64, 400, dtype=np.uint64)
+    held = [(pool[pick.integers(0, 400, n)], pick.integers(0, 2, n).astype(np.uint64)) for n in (150, 1, 0, 80, 60)]
+    named = [chunks.Named(n, c if checked else None) for n, c in held]
+    counts = Counter((a, b * checked) for n, c in held for a, b in zip(n.tolist(), c.tolist()))
+    rows = pa.concat_tables([own.table(i, buckets, first) for i, own in enumerate(named)])
+    told = chunks.common_names(spark.createDataFrame(rows.to_pylist(), chunks.NAMES), buckets, first, 2).toArrow()
+    for i, (own, (n, c)) in enumerate(zip(named, held)):
+        mine = told.filter(pa.compute.equal(told.column("chunk"), i))
+        assert own.common(mine, buckets, first).tolist() == [counts[a, b * checked] > 1 for a, b in zip(n.tolist(), c.tolist())]
+
+
+def test_buckets_cost_nothing_where_no_name_falls():
+    import numpy as np
+
+    names = np.sort(np.random.default_rng(3).integers(0, 2**64, 1000, dtype=np.uint64))
+    for buckets in (1, 2, 10, 25_000_000):
+        held, bounds = chunks.ranges(names, buckets)
+        width = -(-(2**64) // buckets)
+        assert [int(x) // width for x in names] == [b for b, n in zip(held.tolist(), np.diff(bounds).tolist()) for _ in range(n)]
+    assert chunks.Named(names).table(0, 25_000_000).num_rows <= 1000
+    assert [len(x) for x in chunks.ranges(names[:0], 5)] == [0, 1]
+
+
+def test_an_id_on_many_texts_and_a_text_under_many_ids_fall_to_all_chunks(spark):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(4000)
+    one = ids.select(F.lit(7).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    for docs in (one, one.withColumn("doc_id", F.lit(None).cast("long")), ids.select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))):
+        sizes = [r["count"] for r in chunks.chunked(docs, 20).groupBy("chunk").count().collect()]
+        assert len(sizes) == 20 and max(sizes) < 300
+
+
 def test_repeats_within_one_text_and_none_at_all(spark):
     words = [f"w{i}" for i in range(50)]
     rows = [(1, " ".join(words * 2), None, None, None), (2, " ".join(words[:34]), None, None, None)]
@@ -48,6 +91,17 @@ def test_symbols_outside_reach_of_edges_are_equal_everywhere():
     assert seen[0] == seen[1] == seen[2] and seen[0]
 
 
+def test_repeats_over_relays(spark, monkeypatch):
+    """More buckets than a chunk deals its names to: the answers come back through relays."""
+    monkeypatch.setattr(chunks.common_names, "__defaults__", (4, 3))
+    monkeypatch.setattr(chunks.Named.table, "__defaults__", (4,))
+    monkeypatch.setattr(chunks.Named.common, "__defaults__", (4,))
+    monkeypatch.setattr(chunks, "BUCKET_BYTES", 300)
+    rows = random_rows(8) + odd_rows()
+    found = substrings.without_repeats(spark.createDataFrame(rows, SCHEMA), 35, chunk_bytes=9000).collect()
+    assert sorted(map(tuple, found), key=repr) == without_repeats(rows, 35)
+
+
 def test_substring_query(spark):
     import hashlib
 
@@ -136,6 +190,15 @@ def test_components(spark):
     assert graphs.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_boilerplate_of_a_tenth_of_the_pages_goes_from_all_hosts(spark):
+    """Shares of 8 to 13% by the chance of the host go, those under 5% stay."""
+    rows = [(1000 * h + i, "\n".join([f"own {h} {i}", *["licence"] * (i < share), *["motto"] * (i < 9)]), "en", f"h{h}", 0)
+            for h, share in enumerate((16, 18, 20, 26)) for i in range(200)]
+    kept = line_dedup.drop_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(kept) == len(rows) and not any("licence" in r.text for r in kept)
+    assert sum("motto" in r.text for r in kept) == 4 * 9
+
+
 def test_boilerplate_lines(spark):
     rows = [(300 + i, f"top\nline {i}\n\n{'common' if i % 2 else 'rare ' + str(i)}\ncommon", "en", "a", 0) for i in range(20)]
     rows += [(100 + i, "top\nelse", None, None, None) for i in range(4)] + odd_rows()

@@ -21,8 +21,11 @@ CHUNK_BYTES, LARGE_CHUNK_BYTES, FEW_CHUNKS = 1 << 20, 16 << 20, 10_000
 #: Bytes of names in a bucket, about.
 BUCKET_BYTES = 4 << 20
 
+#: Buckets that a chunk deals its names to, at most, and chunks that are gathered where there are more buckets.
+FIRST_BUCKETS, GATHERED_CHUNKS = 4096, 4096
+
 NAMES = "bucket int, chunk int, names binary, checks binary, twice binary"
-COMMON = "chunk int, names binary"
+COMMON = "chunk int, bucket int, found binary"
 
 
 class Sizes:
@@ -37,16 +40,16 @@ class Sizes:
         return max(1, int(self.bytes * bytes_per_text_byte / BUCKET_BYTES))
 
 
-def chunk_of(doc_id, chunks: int):
-    return F.pmod(F.xxhash64(doc_id), F.lit(chunks)).cast("int")
-
-
 def chunked(docs: DataFrame, chunks: int) -> DataFrame:
-    """``chunk``, ``doc_id`` and ``text`` in UTF-8. Rows without ``doc_id`` are dealt by their text."""
+    """``chunk``, ``doc_id`` and ``text`` in UTF-8.
+
+    Rows are dealt by ``doc_id`` and text, so an id on many texts, or a text under many ids, falls to all
+    chunks. Only rows equal in both stay together.
+    """
     pin(docs.sparkSession)
-    doc_id = F.col("doc_id").cast("long")
-    chunk = F.when(doc_id.isNull(), chunk_of(F.col("text"), chunks)).otherwise(chunk_of(doc_id, chunks))
-    return docs.select(chunk.alias("chunk"), doc_id.alias("doc_id"), text_bytes().alias("text"))
+    doc_id, text = F.col("doc_id").cast("long"), text_bytes()
+    chunk = F.pmod(F.xxhash64(doc_id, text), F.lit(chunks)).cast("int")
+    return docs.select(chunk.alias("chunk"), doc_id.alias("doc_id"), text.alias("text"))
 
 
 class Chunk:
@@ -76,71 +79,115 @@ def _column(table: pa.Table, name: str) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), dtype="<u8") for chunk in table.column(name).chunks for x in chunk]
 
 
-def names_table(chunk: int, buckets: int, names: np.ndarray, checks: np.ndarray | None = None) -> pa.Table:
-    """Rows of NAMES: the distinct names by range, and which of them occur twice in the chunk.
+def ranges(names: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted names, the buckets that hold any, and where each begins, with the end. Work is linear in the names, not in the buckets."""
+    if buckets == 1 or not len(names):
+        return np.zeros(min(len(names), 1), np.int64), np.unique([0, len(names)])
+    bucket = (names // np.uint64(-(-(2**64) // buckets))).astype(np.int64)
+    at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    return bucket[at], np.r_[at, len(names)]
 
-    ``checks`` are second hashes of the same things; names count as equal only if these are, too.
-    """
-    keys = (names,) if checks is None else (checks, names)
-    order = np.lexsort(keys)
-    names = names[order]
-    new = np.r_[True, names[1:] != names[:-1]] if len(names) else np.zeros(0, bool)
-    if checks is not None and len(names):
-        checks = checks[order]
-        new[1:] |= checks[1:] != checks[:-1]
-    at = np.flatnonzero(new)
-    twice = np.diff(np.r_[at, len(names)]) > 1
-    names = names[at]
-    checks = None if checks is None else checks[at]
-    width = -(-(2**64) // buckets)
-    bounds = np.searchsorted(names, np.array([i * width for i in range(1, buckets)], dtype=np.uint64))
-    rows = []
-    for bucket, (a, b) in enumerate(zip([0, *bounds.tolist()], [*bounds.tolist(), len(names)])):
-        if b > a:
-            rows.append((bucket, chunk, names[a:b].tobytes(), b"" if checks is None else checks[a:b].tobytes(),
-                         np.packbits(twice[a:b]).tobytes()))
+
+def _rows(number: int, buckets: int, names: np.ndarray, checks: np.ndarray | None, twice: np.ndarray) -> pa.Table:
+    held, bounds = ranges(names, buckets)
+    rows = [(bucket, number, names[a:b].tobytes(), b"" if checks is None else checks[a:b].tobytes(), np.packbits(twice[a:b]).tobytes())
+            for bucket, a, b in zip(held.tolist(), bounds.tolist(), bounds[1:].tolist())]
     columns = list(zip(*rows)) or [()] * 5
     types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["bucket", "chunk", "names", "checks", "twice"])
 
 
-def common_names(rows: DataFrame) -> DataFrame:
-    """Rows of COMMON: of each chunk's names those that occur at least twice, in this chunk or in several."""
-
-    def tell(table: pa.Table) -> pa.Table:
-        parts, checks = _column(table, "names"), _column(table, "checks")
-        sizes = [len(p) for p in parts]
-        names = np.concatenate(parts)
-        twice = np.concatenate([
-            np.unpackbits(np.frombuffer(t.as_buffer(), dtype=np.uint8), count=n).astype(bool)
-            for t, n in zip((x for c in table.column("twice").chunks for x in c), sizes)])
-        second = np.concatenate(checks)
-        order = np.lexsort((second, names) if len(second) else (names,))
-        sorted_names = names[order]
-        new = np.r_[True, sorted_names[1:] != sorted_names[:-1]]
-        if len(second):
-            new[1:] |= second[order][1:] != second[order][:-1]
+def _bits(raw, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=count).astype(bool)
+
+
+def _told(told: pa.Table, names: np.ndarray, buckets: int) -> np.ndarray:
+    """From rows of COMMON, which of the distinct sorted names, dealt to so many buckets, are common."""
+    out = np.zeros(len(names), dtype=bool)
+    if not told.num_rows:
+        return out
+    held, bounds = ranges(names, buckets)
+    for bucket, raw in zip(told.column("bucket").to_pylist(), told.column("found").to_pylist()):
+        i = int(np.searchsorted(held, bucket))
+        out[bounds[i] : bounds[i + 1]] = _bits(raw, int(bounds[i + 1] - bounds[i]))
+    return out
+
+
+class Named:
+    """Names of a chunk's things, distinct and sorted.
+
+    ``checks`` are second hashes of the same things; names count as equal only if these are, too.
+    A chunk that makes its names anew has them in the same order, so an answer is one bit a name.
+    """
+
+    def __init__(self, names: np.ndarray, checks: np.ndarray | None = None):
+        order = np.lexsort((names,) if checks is None else (checks, names))
+        names = names[order]
+        new = np.r_[True, names[1:] != names[:-1]] if len(names) else np.zeros(0, bool)
+        if checks is not None and len(names):
+            checks = checks[order]
+            new[1:] |= checks[1:] != checks[:-1]
         at = np.flatnonzero(new)
-        counts = np.diff(np.r_[at, len(names)])
-        shared = (counts > 1) | np.logical_or.reduceat(twice[order], at)
-        found = np.empty(len(names), dtype=bool)
-        found[order] = np.repeat(shared, counts)
-        pieces = np.split(found, np.cumsum(sizes)[:-1])
-        answers = [(c, p[f].tobytes()) for c, p, f in zip(table.column("chunk").to_pylist(), parts, pieces) if f.any()]
-        columns = list(zip(*answers)) or [(), ()]
-        return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], names=["chunk", "names"])
+        self.place = np.empty(len(names), dtype=np.int64)
+        self.place[order] = np.cumsum(new) - 1
+        self.twice = np.diff(np.r_[at, len(names)]) > 1
+        self.names, self.checks = names[at], None if checks is None else checks[at]
+
+    def table(self, chunk: int, buckets: int, first: int = FIRST_BUCKETS) -> pa.Table:
+        """Rows of NAMES: the distinct names by range, and which of them occur twice in the chunk."""
+        return _rows(chunk, min(buckets, first), self.names, self.checks, self.twice)
+
+    def common(self, told: pa.Table, buckets: int, first: int = FIRST_BUCKETS) -> np.ndarray:
+        """From the chunk's rows of COMMON, which of the things' names are common, in the order given."""
+        return _told(told, self.names, min(buckets, first))[self.place]
 
-    return rows.groupBy("bucket").applyInArrow(tell, COMMON)
 
+class _Joined:
+    """The names of several rows of NAMES as distinct ones, and which occur at least twice, in one row or in several."""
+
+    def __init__(self, table: pa.Table):
+        parts, second = _column(table, "names"), np.concatenate(_column(table, "checks"))
+        self.sizes = [len(p) for p in parts]
+        twice = np.concatenate([_bits(t.as_buffer(), n) for t, n in zip((x for c in table.column("twice").chunks for x in c), self.sizes)])
+        joined = Named(np.concatenate(parts), second if len(second) else None)
+        self.names, self.checks, self.place = joined.names, joined.checks, joined.place
+        self.twice = joined.twice
+        self.twice[self.place[twice]] = True
+
+    def answers(self, table: pa.Table, common: np.ndarray) -> pa.Table:
+        """Rows of COMMON to the rows of NAMES, given which distinct names are common."""
+        pieces = np.split(common[self.place], np.cumsum(self.sizes)[:-1])
+        rows = [(c, b, np.packbits(f).tobytes())
+                for c, b, f in zip(table.column("chunk").to_pylist(), table.column("bucket").to_pylist(), pieces) if f.any()]
+        columns = list(zip(*rows)) or [()] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "bucket", "found"])
 
-def told_names(table: pa.Table) -> np.ndarray:
-    """All names of a chunk's rows of COMMON, sorted."""
-    parts = _column(table, "names")
-    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint64)
 
+def _tell(table: pa.Table) -> pa.Table:
+    joined = _Joined(table)
+    return joined.answers(table, joined.twice)
 
-def among(names: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which names are in the sorted array ``known``."""
-    if not len(known):
-        return np.zeros(len(names), dtype=bool)
-    return known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names
+
+def common_names(rows: DataFrame, buckets: int, first: int = FIRST_BUCKETS, gathered: int = GATHERED_CHUNKS) -> DataFrame:
+    """Rows of COMMON: of each chunk's names those that occur at least twice, in this chunk or in several.
+
+    With more than ``first`` buckets, a chunk's names would be too few for a row each. Then rows of
+    ``gathered`` chunks and one first bucket are joined, dealt on as one chunk, and their answers handed back.
+    """
+    if buckets <= first:
+        return rows.groupBy("bucket").applyInArrow(_tell, COMMON)
+
+    def gather(table: pa.Table) -> pa.Table:
+        joined = _Joined(table)
+        return _rows(table.column("relay")[0].as_py(), buckets, joined.names, joined.checks, joined.twice)
+
+    def hand_back(table: pa.Table, told: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return pa.table({"chunk": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "found": pa.array([], pa.binary())})
+        joined = _Joined(table)
+        return joined.answers(table, _told(told, joined.names, buckets))
+
+    relay = F.floor(F.col("chunk") / F.lit(gathered)) * F.lit(first) + F.col("bucket")
+    relayed = rows.withColumn("relay", relay.cast("int"))
+    told = relayed.groupBy("relay").applyInArrow(gather, NAMES).groupBy("bucket").applyInArrow(_tell, COMMON)
+    return relayed.groupBy("relay").cogroup(told.groupBy("chunk")).applyInArrow(hand_back, COMMON)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wxlake.llm.chunks import (
-    BUCKET_BYTES, NAMES, Chunk, Sizes, among, chunk_of, chunked, common_names, names_table, told_names,
+    BUCKET_BYTES, NAMES, Chunk, Named, Sizes, chunked, common_names, ranges,
 )
 from wxlake.llm.common import materialise, text_bytes
 from wxlake.llm.fingerprints import mix, run_hashes, word_hashes, word_spans
@@ -27,7 +27,7 @@ SLICE = 4096
 #: Bytes of prefix names per byte of text, to size the buckets.
 PREFIX_BYTES = 0.35
 
-DIGESTS = "doc_id long, n long, node binary"
+DIGESTS = "chunk int, doc_id long, n long, node binary"
 SETS = "doc_id long, digest binary, n long, node binary, tokens binary"
 COUNTS = "bucket int, chunk int, names binary, counts binary"
 ANSWERS = "chunk int, names binary, counts binary"
@@ -77,6 +77,7 @@ def _digests(size: int):
         chunk = Chunk(table)
         sets = shingle_sets(chunk, size)
         return pa.table({
+            "chunk": pa.array([chunk.number] * len(chunk), pa.int32()),
             "doc_id": pa.array(chunk.doc_ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
             "node": pa.array([node_of(s) if len(s) and d is not None else None for s, d in zip(sets, chunk.doc_ids)], pa.binary())})
 
@@ -96,19 +97,23 @@ def _wanted(table: pa.Table) -> list[tuple[int, bytes]]:
     return [(d, n) for d, n in zip(table.column("rep").to_pylist(), table.column("node").to_pylist()) if n is not None]
 
 
+def _named(sets: list[np.ndarray], percent: int) -> Named:
+    """Names of the prefixes' tokens, set after set."""
+    return Named(mix(np.concatenate([prefix(s, percent) for s in sets]), 31))
+
+
 def _prefix_names(size: int, percent: int, buckets: int):
     def names(table: pa.Table, reps: pa.Table) -> pa.Table:
         if not table.num_rows or not reps.num_rows:
-            return names_table(0, buckets, np.zeros(0, np.uint64))
+            return Named(np.zeros(0, np.uint64)).table(0, buckets)
         chunk = Chunk(table)
         sets = shingle_sets(chunk, size)
-        own = [prefix(sets[i], percent) for i in _representatives(chunk, sets, _wanted(reps))]
-        return names_table(chunk.number, buckets, mix(np.concatenate(own), 31))
+        return _named([sets[i] for i in _representatives(chunk, sets, _wanted(reps))], percent).table(chunk.number, buckets)
 
     return names
 
 
-def _surviving_sets(size: int, percent: int):
+def _surviving_sets(size: int, percent: int, buckets: int):
     def surviving(table: pa.Table, told: pa.Table) -> pa.Table:
         """All documents; the tokens of those sets whose prefix shares enough tokens with other sets."""
         empty = {"doc_id": pa.array([], pa.int64()), "digest": pa.array([], pa.binary()), "n": pa.array([], pa.int64()), "node": pa.array([], pa.binary()), "tokens": pa.array([], pa.binary())}
@@ -116,12 +121,14 @@ def _surviving_sets(size: int, percent: int):
             return pa.table(empty)
         chunk = Chunk(table)
         sets = shingle_sets(chunk, size)
-        known = told_names(told.filter(pc.is_valid(told.column("names")))) if told.num_rows else np.zeros(0, np.uint64)
         tokens: list[bytes | None] = [None] * len(sets)
-        for i in _representatives(chunk, sets, _wanted(told)) if told.num_rows else ():
-            shared = int(among(mix(prefix(sets[i], percent), 31), known).sum())
-            if shared >= extra(least_common(len(sets[i]), percent)):
-                tokens[i] = sets[i].tobytes()
+        places = _representatives(chunk, sets, _wanted(told)) if told.num_rows else []
+        if places:
+            common = _named([sets[i] for i in places], percent).common(told.filter(pc.is_valid(told.column("found"))), buckets)
+            ends = np.cumsum([len(prefix(sets[i], percent)) for i in places])
+            for i, shared in zip(places, np.add.reduceat(common.astype(np.int64), np.r_[0, ends[:-1]]).tolist()):
+                if shared >= extra(least_common(len(sets[i]), percent)):
+                    tokens[i] = sets[i].tobytes()
         return pa.table({
             "doc_id": pa.array(chunk.doc_ids, pa.int64()), "digest": pa.array([md5(t.as_buffer()).digest() for t in chunk.texts], pa.binary()),
             "n": pa.array([len(s) for s in sets], pa.int64()),
@@ -143,11 +150,10 @@ def _token_arrays(table: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
 def _token_counts(buckets: int):
     def counts(table: pa.Table) -> pa.Table:
         names, found = np.unique(mix(np.concatenate(_token_arrays(table)[1]), 31), return_counts=True)
-        width = -(-(2**64) // buckets)
-        bounds = np.searchsorted(names, np.array([i * width for i in range(1, buckets)], dtype=np.uint64)).tolist()
+        held, bounds = ranges(names, buckets)
         number = table.column("chunk")[0].as_py()
         rows = [(k, number, names[a:b].tobytes(), found[a:b].astype("<u4").tobytes())
-                for k, (a, b) in enumerate(zip([0, *bounds], [*bounds, len(names)])) if b > a]
+                for k, a, b in zip(held.tolist(), bounds.tolist(), bounds[1:].tolist())]
         bucket, chunk, blobs, numbers = zip(*rows)
         return pa.table({"bucket": pa.array(bucket, pa.int32()), "chunk": pa.array(chunk, pa.int32()),
                          "names": pa.array(blobs, pa.binary()), "counts": pa.array(numbers, pa.binary())})
@@ -358,13 +364,13 @@ def linked_sets(docs: DataFrame, shingle: int, percent: int, chunk_bytes: int |
     sizes = Sizes(docs, chunk_bytes)
     parts = chunked(docs, sizes.chunks)
     digests = parts.groupBy("chunk").applyInArrow(_digests(shingle), DIGESTS)
-    reps = digests.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    reps = reps.select(chunk_of(F.col("rep"), sizes.chunks).alias("chunk"), "rep", "node")
-    prefixes = parts.groupBy("chunk").cogroup(reps.groupBy("chunk")).applyInArrow(
-        _prefix_names(shingle, percent, sizes.buckets(PREFIX_BYTES)), NAMES)
-    told = reps.withColumn("names", F.lit(None).cast("binary")).unionByName(common_names(prefixes), allowMissingColumns=True)
+    reps = digests.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "chunk")).alias("first"))
+    reps = reps.select("first.chunk", F.col("first.doc_id").alias("rep"), "node")
+    buckets = sizes.buckets(PREFIX_BYTES)
+    prefixes = parts.groupBy("chunk").cogroup(reps.groupBy("chunk")).applyInArrow(_prefix_names(shingle, percent, buckets), NAMES)
+    told = reps.withColumn("found", F.lit(None).cast("binary")).unionByName(common_names(prefixes, buckets), allowMissingColumns=True)
     found = materialise(parts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        _surviving_sets(shingle, percent), SETS), "sets")
+        _surviving_sets(shingle, percent, buckets), SETS), "sets")
 
     classes = found.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))

@@ -6,9 +6,11 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from wxlake.llm.chunks import NAMES, Chunk, Sizes, among, chunked, common_names, names_table, told_names
+from wxlake.llm.chunks import NAMES, Chunk, Named, Sizes, chunked, common_names
 from wxlake.llm.fingerprints import mix, run_hashes, word_hashes, word_spans
 
 #: Words of a passage.
@@ -109,48 +111,56 @@ class Words:
         ends = self.firsts[1:][self.text]
         return np.flatnonzero(np.arange(len(self.text)) + length <= ends)
 
+    def telling(self, window: int) -> tuple[Symbols, np.ndarray, Named]:
+        """Their symbols, those that tell, and the names of these."""
+        symbols = Symbols.compressed(self.hashes, self.text)
+        telling = symbols.telling(window)
+        return symbols, telling, Named(symbols.names[telling])
+
+    def suspects(self, window: int, told: pa.Table, buckets: int) -> tuple[np.ndarray, Named]:
+        """First words of the windows that no unique symbol tells apart from all others, and their names."""
+        symbols, telling, named = self.telling(window)
+        unique = telling[~named.common(told, buckets)]
+        # A window from low - or up to ``window`` words before high - holds the unique symbol's words: it occurs once.
+        marks = np.zeros(len(self.hashes) + 2, dtype=np.int32)
+        np.add.at(marks, np.maximum(symbols.high[unique] - window, 0), 1)
+        np.add.at(marks, symbols.low[unique] + 1, -1)
+        starts = self.windows(window)
+        starts = starts[np.cumsum(marks)[starts] == 0]
+        return starts, Named(run_hashes(self.hashes, window)[starts], run_hashes(self.hashes, window, salt=1)[starts])
+
 
 def _symbol_names(window: int, buckets: int):
     def names(table: pa.Table) -> pa.Table:
         words = Words(table)
-        symbols = Symbols.compressed(words.hashes, words.text)
-        return names_table(words.chunk.number, buckets, symbols.names[symbols.telling(window)])
+        return words.telling(window)[2].table(words.chunk.number, buckets)
 
     return names
 
 
-def _window_names(window: int, buckets: int):
+def _window_names(window: int, of_symbols: int, of_windows: int):
     def names(table: pa.Table, told: pa.Table) -> pa.Table:
         """Hashes of the windows that no unique symbol tells apart from all others."""
         if not table.num_rows:
-            return names_table(0, buckets, np.zeros(0, np.uint64))
+            return Named(np.zeros(0, np.uint64)).table(0, of_windows)
         words = Words(table)
-        symbols = Symbols.compressed(words.hashes, words.text)
-        telling = symbols.telling(window)
-        unique = telling[~among(symbols.names[telling], told_names(told))]
-        # A window from low - or up to ``window`` words before high - holds the unique symbol's words: it occurs once.
-        marks = np.zeros(len(words.hashes) + 2, dtype=np.int32)
-        np.add.at(marks, np.maximum(symbols.high[unique] - window, 0), 1)
-        np.add.at(marks, symbols.low[unique] + 1, -1)
-        starts = words.windows(window)
-        starts = starts[np.cumsum(marks)[starts] == 0]
-        return names_table(words.chunk.number, buckets, run_hashes(words.hashes, window)[starts],
-                           run_hashes(words.hashes, window, salt=1)[starts])
+        return words.suspects(window, told, of_symbols)[1].table(words.chunk.number, of_windows)
 
     return names
 
 
-def _removed(window: int):
+def _removed(window: int, of_symbols: int, of_windows: int):
     def removed(table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()),
                              "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string())})
         words = Words(table)
-        known, n = told_names(told), len(words.hashes)
+        n = len(words.hashes)
         covered = np.zeros(n, dtype=bool)
-        if len(known):
-            starts = words.windows(window)
-            starts = starts[among(run_hashes(words.hashes, window)[starts], known)]
+        windows = told.filter(told.column("windows")) if told.num_rows else told
+        if windows.num_rows:
+            starts, named = words.suspects(window, told.filter(pc.invert(told.column("windows"))), of_symbols)
+            starts = starts[named.common(windows, of_windows)]
             marks = np.zeros(n + 1, dtype=np.int32)
             np.add.at(marks, starts, 1)
             np.add.at(marks, starts + window, -1)
@@ -179,12 +189,15 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int | No
 
     Symbols are named by hashes of their content, so all tasks give equal names without an exchange. One
     exchange counts the names of the last round. A symbol that occurs once proves that the windows
-    that hold it, and all words that decided on it, occur once. Only the other windows are hashed (128 bits) and
-    counted in a second exchange. Equal names of different symbols can only send more windows there.
+    that hold it, and all words that decided on it, occur once. Only the other windows are hashed (128 bits, all compared) and
+    counted in a second exchange. A chunk makes its names anew and is told one bit for each. Equal names of
+    different symbols can only send more windows there.
     """
     sizes = Sizes(docs, chunk_bytes)
     parts = chunked(docs, sizes.chunks)
-    symbols = parts.groupBy("chunk").applyInArrow(_symbol_names(window, sizes.buckets(NAME_BYTES)), NAMES)
-    windows = parts.groupBy("chunk").cogroup(common_names(symbols).groupBy("chunk")).applyInArrow(
-        _window_names(window, sizes.buckets(CHECK_BYTES)), NAMES)
-    return parts.groupBy("chunk").cogroup(common_names(windows).groupBy("chunk")).applyInArrow(_removed(window), KEPT)
+    of_symbols, of_windows = sizes.buckets(NAME_BYTES), sizes.buckets(CHECK_BYTES)
+    symbols = common_names(parts.groupBy("chunk").applyInArrow(_symbol_names(window, of_symbols), NAMES), of_symbols)
+    windows = common_names(parts.groupBy("chunk").cogroup(symbols.groupBy("chunk")).applyInArrow(
+        _window_names(window, of_symbols, of_windows), NAMES), of_windows)
+    told = symbols.withColumn("windows", F.lit(False)).unionByName(windows.withColumn("windows", F.lit(True)))
+    return parts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_removed(window, of_symbols, of_windows), KEPT)
