@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from wxlake.llm.common import pin, small_side
 
-#: A line is boilerplate if over RATIO of its host's pages hold it, and at least LEAST_PAGES do.
-RATIO = 0.1
+#: A line is boilerplate if over RATIO of its host's pages hold it, and at least LEAST_PAGES do. Boilerplate on about a tenth of
+#: all pages is above or below a tenth by the chance of the host, so the ratio is half of that.
+RATIO = 0.05
 LEAST_PAGES = 5
 
 

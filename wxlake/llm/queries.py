@@ -131,13 +131,13 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf, "documents"))
 
 
-@query("op8_line_dedup", """
+@query("op8_line_dedup", f"""
 with docs as (select doc_id, source, text, case when text is not null then string_split(text, chr(10)) end as lines from documents),
 pages as (select source, count(*) as pages from docs group by source),
 found as (select source, line, count(*) as n
           from (select source, unnest(list_distinct(lines)) as line from docs) where line <> '' group by source, line),
 common as (select found.source, list(line) as lines from found join pages on found.source is not distinct from pages.source
-           where n >= 5 and n > 0.1::double * pages group by found.source),
+           where n >= {line_dedup.LEAST_PAGES} and n > {line_dedup.RATIO}::double * pages group by found.source),
 kept as (select doc_id, text, docs.lines as own,
                 list_filter(docs.lines, lambda x: not list_contains(coalesce(common.lines, []), x)) as k
          from docs left join common on docs.source is not distinct from common.source)
