@@ -48,6 +48,16 @@ def test_url_rules_and_list(spark, most):
     assert sorted(map(tuple, found.collect()), key=repr) == judged(rows, thin)
 
 
+def test_a_key_on_many_rows_is_dealt_in_parts(spark):
+    """Beyond the broadcast, by rows: one key holds most rows, and no operator joins keys."""
+    rows = [(i, "hot" if i % 3 else f"k{i}", i % 3 > 0 or i % 2 == 0) for i in range(3000)] + [(-i, None, True) for i in range(1, 500)]
+    keys = spark.createDataFrame(rows, "page long, key string, own boolean").selectExpr("*", "page as shard", "1 as part", "'h' as h1")
+    cascade = url_filter.fit(keys, F.col("own"), shard_keys=300)
+    told = url_filter.contains(keys, cascade, broadcast_bytes=0, part_rows=100)
+    assert told.columns == [*keys.columns, "listed"]
+    assert sorted((r.page, r.listed) for r in told.collect()) == sorted((p, k is not None and o) for p, k, o in rows)
+
+
 def test_cascade_without_keys_and_by_shards(spark):
     rows = [(f"k{i}", i % 7 == 0) for i in range(5000)] + [(None, True), ("k7", False)]
     keys = spark.createDataFrame(rows, "key string, own boolean")

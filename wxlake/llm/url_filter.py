@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from wxlake.llm.common import materialise, pin
+from wxlake.llm.common import materialise, pin, small_side
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -18,8 +19,8 @@ CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FALSE_SHARE = 0.05
 #: Distinct keys of one shard, about.
 SHARD_KEYS = 200_000
-#: Bytes of all filters up to which they are broadcast; beyond, keys go to their shard's filters.
-BROADCAST_BYTES = 32 << 20
+#: Bytes of all filters up to which they are broadcast; beyond, rows go to their shard's filters, about so many to a task.
+BROADCAST_BYTES, PART_ROWS = 32 << 20, 100_000
 
 LEVELS = "shard int, bits array<int>, hashes array<int>, filters array<binary>"
 
@@ -148,11 +149,13 @@ def fit(universe: DataFrame, listed: Column, key: str = "key", shard_keys: int =
     return Cascade(table, shards, size)
 
 
-def contains(rows: DataFrame, cascade: Cascade, key: str = "key", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def contains(rows: DataFrame, cascade: Cascade, key: str = "key", broadcast_bytes: int = BROADCAST_BYTES,
+             part_rows: int = PART_ROWS) -> DataFrame:
     """All rows with one more column ``listed``; false for null keys. Keys must be of the fitted universe.
 
-    Up to ``broadcast_bytes`` the filters go to all tasks. Beyond, distinct keys meet
-    their shard's filters in a cogroup, and the answers return by an equi-join on the hashes.
+    Up to ``broadcast_bytes`` the filters go to all tasks. Beyond, the rows themselves are dealt by shard, and a shard
+    with more than ``part_rows`` rows in parts, as one key may hold many; its filters go to each part, where the cascade answers.
+    No keys are joined. A null key's rows are dealt like those of any other hash.
     """
     spark, shards = rows.sparkSession, cascade.shards
     if cascade.size <= broadcast_bytes:
@@ -170,17 +173,24 @@ def contains(rows: DataFrame, cascade: Cascade, key: str = "key", broadcast_byte
 
         return rows.withColumn("listed", F.col(key).isNotNull() & member(*_hashed(F.col(key))))
 
-    def answer(filters: pa.Table, keys: pa.Table) -> pa.Table:
-        levels = [list(zip(r["bits"], r["hashes"], r["filters"])) for r in filters.to_pylist()] or [[]]
-        a, b = (np.ascontiguousarray(keys.column(c).to_numpy()) for c in ("h1", "h2"))
-        return pa.Table.from_pydict({"h1": a, "h2": b, "listed": _listed(levels[0], a, b)})
+    shard = F.pmod("h2", F.lit(shards)).cast("int")
+    hashed = rows.select(F.struct(*[rows[c] for c in rows.columns]).alias("row"), F.col(key).isNotNull().alias("keyed"), *_hashed(F.col(key)))
+    hashed = hashed.withColumn("shard", shard)
+    parts = hashed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("parts"))
+    parts = small_side(parts.withColumnRenamed("shard", "of"), "url-parts")
+    dealt = hashed.join(parts, F.col("shard") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    filters = cascade.table.join(parts, F.col("shard") == F.col("of")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
-    hashed = rows.select("*", *[c.alias(f"cascade_{c_name}") for c, c_name in zip(_hashed(F.col(key)), ("h1", "h2"))])
-    shard = F.pmod("h2", F.lit(shards)).cast("int").alias("shard")
-    keys = hashed.select(F.col("cascade_h1").alias("h1"), F.col("cascade_h2").alias("h2")).distinct().select(shard, "h1", "h2")
-    told = cascade.table.groupBy("shard").cogroup(keys.groupBy("shard")).applyInArrow(answer, "h1 long, h2 long, listed boolean")
-    found = hashed.join(told, (F.col("cascade_h1") == F.col("h1")) & (F.col("cascade_h2") == F.col("h2")), "left")
-    return found.select(*[rows[c] for c in rows.columns], (F.col(key).isNotNull() & F.coalesce(F.col("listed"), F.lit(False))).alias("listed"))
+    def answer(filters: pa.Table, told: pa.Table) -> pa.Table:
+        levels = [list(zip(r["bits"], r["hashes"], r["filters"])) for r in filters.to_pylist()] or [[]]
+        a, b = (np.ascontiguousarray(told.column(c).to_numpy()) for c in ("h1", "h2"))
+        found = _listed(levels[0], a, b) & np.asarray(told.column("keyed").to_numpy())
+        return pa.table({"row": told.column("row"), "listed": pa.array(found)})
+
+    schema = StructType([StructField("row", rows.schema), StructField("listed", BooleanType())])
+    told = filters.select("shard", "part", "bits", "hashes", "filters").groupBy("shard", "part").cogroup(
+        dealt.select("shard", "part", "h1", "h2", "keyed", "row").groupBy("shard", "part")).applyInArrow(answer, schema)
+    return told.select("row.*", "listed")
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], listed: Column, carry: Sequence[str] = ("page_id",),
