@@ -2,6 +2,7 @@
 
 import random
 import re
+from hashlib import sha256
 
 import numpy as np
 import pytest
@@ -119,15 +120,20 @@ def test_base_patterns():
         assert [tuple(s) for s in secret_scan.base_spans(text)] == want, text
 
 
+def plain_spans(text):
+    """Spans of the patterns by plain expressions, by start, then kind as listed."""
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [("assign", *m.span()) for m in re.finditer(assign, text, re.I | re.A) if len(m[2]) >= 12]
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
 def test_patterns_equal_the_plain_ones():
     pick = random.Random(9)
-    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     for _ in range(3000):
         text = "".join(pick.choice(["token", "Secret", "=", ":", " ", '"', "AKIA", "ABCDEFGH", "0123456789", "abcdef", "x", "api_key", "\n"]) for _ in range(pick.randint(1, 14)))
-        want = [("assign", *m.span()) for m in assign.finditer(text) if len(m[2]) >= 12]
-        want += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
-        want += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
-        assert sorted(map(tuple, secret_scan.base_spans(text))) == sorted(want)
+        assert sorted(map(tuple, secret_scan.base_spans(text))) == sorted(plain_spans(text))
 
 
 @pytest.fixture(scope="module")
@@ -223,12 +229,16 @@ def test_scan_and_redaction_of_odd_rows(spark):
 
 
 def test_scan_query(spark):
+    """Counts, digest and base spans of all rows against plain expressions; the field only adds spans."""
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    for r in queries.QUERIES["op7_secret_scan"](spark, SF).collect():
-        base = secret_scan.base_spans(docs[r.doc_id] or "")
-        spans = r.spans.split(",") if r.spans else []
-        assert {f"{s.kind}:{s.start}:{s.end}" for s in base} <= set(spans)
-        assert r.n_hex == sum(s.kind == "hex" for s in base)
+    rows = queries.QUERIES["op7_secret_scan"](spark, SF).collect()
+    assert len(rows) == len(docs) and any(plain_spans(t or "") for t in docs.values())
+    for r in rows:
+        base = plain_spans(docs[r.doc_id] or "")
+        named = [":".join(map(str, s)) for s in base]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in base) for k in ("assign", "access", "hex"))
+        assert r.base_sha256 == sha256(",".join(named).encode()).hexdigest()
+        assert set(named) <= set(r.spans.split(","))
 
 
 def plain_top(rows, k, every):
