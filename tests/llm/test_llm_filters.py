@@ -160,6 +160,44 @@ def test_field_finds_held_out_secrets_and_no_others(trained):
     assert wanted > 30 and hit >= 0.95 * wanted and found <= 1.05 * wanted + 1
 
 
+def test_field_finds_kinds_that_no_pattern_names(trained):
+    texts, model = trained
+    tagger, pick = secret_scan.Tagger(model), random.Random(3)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    clean = [t for t in texts[200:] if not secret_scan.base_spans(t)]
+    for made in (lambda: "ghp_" + "".join(pick.choices(signs, k=36)), lambda: "sk-" + "".join(pick.choices(signs, k=32)), lambda: "".join(pick.choices(signs + "+/", k=44))):
+        hit = 0
+        for text in clean:
+            words, value = text.split(" "), made()
+            words.insert(pick.randint(0, len(words)), value)
+            base, spans = secret_scan.all_spans([" ".join(words)], tagger)[0]
+            hit += [" ".join(words)[s.start : s.end] for s in spans if s.kind == "crf"] == [value]
+        assert hit >= 0.9 * len(clean)
+    assert all(spans == [] for _, spans in secret_scan.all_spans(clean, tagger))
+
+
+def test_values_without_their_keys():
+    text = 'see "password": "Abcdef123456" or token=abcdefghijklmn, AKIAABCDEFGHIJKLMN0'
+    left, spans = secret_scan.keyless(text, str)
+    assert left == 'see "Abcdef123456" or token=abcdefghijklmn, AKIAABCDEFGHIJKLMN0'
+    assert [left[s.start : s.end] for s in spans] == ["Abcdef123456", "token=abcdefghijklmn", "AKIAABCDEFGHIJKLMN0"]
+    left, spans = secret_scan.keyless(text)
+    assert left == secret_scan.keyless(text)[0] and left[spans[0].start : spans[0].end] == secret_scan.respelled("Abcdef123456")
+    assert secret_scan.keyless("no secret=1") == ("no secret=1", []) and secret_scan.keyless("") == ("", [])
+
+
+def test_words_of_any_length_have_short_keys(trained):
+    tagger = secret_scan.Tagger(trained[1])
+    for word in ("x" * 4_000_000, "aB3+" * 1_000_000, "token" * 100_000 + "=", "é" * 300, "9" * 257):
+        key = secret_scan.word_key(word)
+        assert len(key) < 400
+        classes = word.translate(secret_scan._CLASSES)
+        plain = "9" not in classes and not secret_scan._HINT.search(word)
+        assert secret_scan.word_features(key) == secret_scan._features(word, classes, plain)
+        assert len(tagger.tag([["the", word, "of", word]])) == 1 and word not in tagger.of_word
+        assert all(len(k) < 400 for words, _, _ in secret_scan.examples(f"the {word} of") for k in words)
+
+
 def test_decoding_is_viterbi_over_whole_texts(trained):
     model, pick = trained[1], random.Random(7)
     tagger = secret_scan.Tagger(model, keep=10)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 import uuid
 from typing import NamedTuple
 
@@ -33,6 +35,11 @@ REDACTED = "[REDACTED]"
 SAMPLE_TEXTS, SAMPLE_WINDOWS, WINDOW = 3000, 4, 21
 #: Distinct texts with a base match, those with the smallest hashes, that the sample holds besides.
 SAMPLE_HOLDING = 300
+#: Code points beyond which a word is remembered by its features alone.
+LONG_WORD = 256
+#: Characters and lengths of values that stand for the kinds of secrets that no pattern names.
+SPELLINGS = (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "_-")
+SPELLED_LENGTHS = (20, 64)
 #: Steps, step size and penalty of the training.
 STEPS, STEP_SIZE, PENALTY = 150, 0.2, 1e-4
 
@@ -76,16 +83,27 @@ def _longest(pattern, word: str) -> int:
 
 
 def word_key(word: str) -> str:
-    """Words with equal key have equal features: itself where digits or a hint occur, else the pattern of its classes."""
+    """Words with equal key have equal features: itself where digits or a hint occur, else the pattern of its classes.
+
+    The key of a long word is a tab, which no word holds, and its features, so keys are bounded whatever the words are.
+    """
     classes = word.translate(_CLASSES)
-    return word if "9" in classes or _HINT.search(word) else "\0" + classes
+    plain = "9" not in classes and not _HINT.search(word)
+    if len(word) > LONG_WORD:
+        return "\t" + "\t".join(_features(word, classes, plain))
+    return "\0" + classes if plain else word
 
 
 def word_features(key: str) -> list[str]:
     """Shape features of a word, and hints that count for its neighbours, which start with ``n:``."""
+    if key[0] == "\t":
+        return key[1:].split("\t")
     plain = key[0] == "\0"
     word = key[1:] if plain else key
-    classes = word if plain else word.translate(_CLASSES)
+    return _features(word, word if plain else word.translate(_CLASSES), plain)
+
+
+def _features(word: str, classes: str, plain: bool) -> list[str]:
     shape = _RUNS.sub(r"\1", classes)
     found = [f"length {_bucket(len(word))}", f"shape {shape}" if len(shape) <= 8 else f"long shape {_bucket(len(shape))}"]
     ending = "assigns" if word[-1] in "=:" else "ends" if word[-1] in ".,;" else "open"
@@ -124,16 +142,51 @@ def silent() -> Model:
     return Model({}, {}, {}, np.tile([1.0, 0.0, 0.0], (8, 1)), np.zeros((3, 3)), np.zeros(3), np.zeros(3))
 
 
+def respelled(value: str) -> str:
+    """Another random value in its place, of one of SPELLINGS, the same for the same value."""
+    pick = random.Random(hashlib.sha256(value.encode()).hexdigest())
+    return "".join(pick.choices(pick.choice(SPELLINGS), k=pick.randint(*SPELLED_LENGTHS)))
+
+
+def keyless(text: str, spell=respelled) -> tuple[str, list[Span]]:
+    """The text with other values in place of its assignments, keys included, and the spans of those values and of the other patterns.
+
+    Such a value tells the field what a secret looks like where no pattern shows it. Values without a digit or a
+    letter can't be told from words and numbers; their assignments stay, with their spans.
+    """
+    parts, values, at, size = [], [], 0, 0
+    for m in ASSIGN.finditer(text):
+        value = m[2]
+        if len(value) >= ASSIGN_CHARS and any(c in "0123456789" for c in value) and any(c.isalpha() for c in value):
+            value = spell(value)
+            parts += [text[at : m.start()], value]
+            size += len(parts[-2]) + len(value)
+            values.append(Span("assign", size - len(value), size))
+            at = m.end()
+    left = "".join(parts) + text[at:]
+    others = [s for s in base_spans(left) if not any(s.start < v.end and v.start < s.end for v in values)] if values else []
+    return left, sorted(values + others, key=lambda s: s.start)
+
+
 def examples(text: str, windows: int = SAMPLE_WINDOWS, width: int = WINDOW) -> list[tuple[list[str], list[int], int]]:
-    """Windows of a text: word keys, labels from the patterns, and the file feature.
+    """Windows of a text: word keys, labels from the patterns, and the file feature; and those of the text without its keys.
 
-    Up to ``windows`` windows around spans, and one around the middle word.
+    Up to ``windows`` windows around spans, and one around the middle word. From the patterns' matches alone the field would only
+    learn the patterns, so a text with assignments has twins without the key words: one with the values as they are, one with values respelled.
     """
+    out = _windows(text, base_spans(text), windows, width)
+    for spell in (str, respelled):
+        left, values = keyless(text, spell)
+        out += _windows(left, values, windows, width) if values else []
+    return out
+
+
+def _windows(text: str, spans: list[Span], windows: int, width: int) -> list[tuple[list[str], list[int], int]]:
     spots = [m.span() for m in WORD.finditer(text)]
     words = [text[a:b] for a, b in spots]
     if not words:
         return []
-    labels, spans, at, centres = [OUTSIDE] * len(words), base_spans(text), 0, [len(words) // 2]
+    labels, at, centres = [OUTSIDE] * len(words), 0, [len(words) // 2]
     for span in spans:
         while at < len(spots) and spots[at][1] <= span.start:
             at += 1
@@ -233,7 +286,7 @@ def train(sample: list[tuple[list[str], list[int], int]]) -> Model:
 
 
 class Tagger:
-    """Decodes with a model. Scores of words are remembered, about ``keep`` words."""
+    """Decodes with a model. Scores of words are remembered, about ``keep`` words of at most LONG_WORD code points."""
 
     def __init__(self, model: Model, keep: int = 200_000):
         self.model, self.keep = model, keep
@@ -260,7 +313,8 @@ class Tagger:
                     self.table[row, 6:9] += m.after.get(f, zero)
             self.table[row, 9] = any(c in "0123456789" for c in word)
             self.used += 1
-        self.of_word[word] = row
+        if len(word) <= LONG_WORD:
+            self.of_word[word] = row
         return row
 
     def tag(self, texts: list[list[str]]) -> list[list[tuple[int, int]]]:
@@ -393,7 +447,7 @@ def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS, holding: int = SAMPLE_HOLDIN
 
     The ``texts`` distinct texts with the smallest hashes show how common secrets are, and the ``holding`` ones
     of those with a base match are examples wherever the table has any, however rare. A text can be in both and counts once.
-    The driver gets their windows, at most SAMPLE_WINDOWS + 1 of WINDOW words each.
+    The driver gets their windows, at most 3 (SAMPLE_WINDOWS + 1) of WINDOW word keys each; a key is at most a few hundred characters.
     """
     pin(docs.sparkSession)
     rows = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("mark"), "text")
