@@ -1,6 +1,7 @@
 """Byte-level BPE, length histogram, packing and SentencePiece against the libraries."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -51,6 +52,16 @@ def test_units_encode_as_the_library(library):
     assert [numbers(x) for x in coder.encode(texts)] == [library(t) for t in texts]
 
 
+def test_vocabulary_of_the_file(tmp_path):
+    ranks, special = bpe.read_vocabulary(bpe.VOCABULARY)
+    assert special == {"<|endoftext|>": 50256} and len(ranks) == 50256 and sorted(ranks.values()) == list(range(50256))
+    assert {bytes([b]) for b in range(256)} <= set(ranks)
+    swapped = {"model": {"vocab": {"a": 0, "b": 1, "aa": 257, "bb": 256}, "merges": [["a", "a"], ["b", "b"]]}, "added_tokens": []}
+    (tmp_path / "swapped.json").write_text(json.dumps(swapped))
+    with pytest.raises(ValueError, match="order of their merges"):
+        bpe.read_vocabulary(str(tmp_path / "swapped.json"))
+
+
 def test_units_start_anew_when_there_are_many(library):
     coder = bpe.UnitEncoder(keep=3)
     for text in ("a bc d ef", "gh i bc d", "a a a"):
