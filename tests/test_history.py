@@ -162,6 +162,26 @@ def test_a_large_period_table_is_joined_by_bins(spark):
     assert found.count() == 3_000 * 8 * 4
 
 
+def test_bins_follow_the_lengths_of_the_ranges(spark):
+    periods = spark.range(50_000).selectExpr("id", "date'1990-01-01' + cast(id % 2400 AS int) AS s", "IF(id % 97 <> 0, date'1990-01-01' + cast(id % 2400 + id % 40 AS int), NULL) AS e")
+    requests = spark.range(2_000).selectExpr("id AS r", "date'1990-01-01' + cast(id AS int) AS f", "date'1990-01-01' + cast(id + id % 30 AS int) AS t")
+    found = joins.overlap_join(requests, periods, ("f", "t"), ("s", "e"))
+    wide = joins.overlap_join(requests, periods, ("f", "t"), ("s", "e"), width=365)
+    agg = [F.count("*"), F.sum(F.xxhash64("r", "id").cast("decimal(38,0)"))]
+    assert found.agg(*agg).first() == wide.agg(*agg).first()
+    # Pairs that share a bin, of those that overlap: few with the chosen width, many with years.
+    def compared(days):
+        sides = []
+        for rows, start, end in ((requests, "f", "t"), (periods, "s", "e")):
+            last = F.coalesce(F.unix_date(end), F.unix_date(F.lit("1996-08-01").cast("date")))
+            bins = F.explode(joins.bins(F.unix_date(start), last, days)).alias("bin")
+            sides.append(rows.select(bins).groupBy("bin").count())
+        return sides[0].join(sides[1].withColumnRenamed("count", "n"), "bin").agg(F.sum(F.col("count") * F.col("n"))).first()[0]
+
+    assert compared(joins.bin_width(15.5, 32)) < 3 * found.count() and compared(365) > 5 * found.count()
+    assert joins.bin_width(1, 1) == 1 and joins.bin_width(1, 8000) == 1000
+
+
 def test_as_of_equals_searching(spark):
     pick = random.Random(4)
     entries = [(pick.choice("ab"), START + dt.timedelta(days=pick.randint(0, 3000)), pick.randint(0, 99)) for _ in range(200)]
