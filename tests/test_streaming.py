@@ -1,14 +1,20 @@
 """Streams: landing, restart, live table, rate."""
 
+from pathlib import Path
+
 import pytest
 from conftest import moment, rows_of, write_json_lines
 from pyspark.sql import functions as F
 
 from wxlake import schemas
+from wxlake.checks import bindings as b
+from wxlake.checks import queries
 from wxlake.operators import clean, dedup, rollup
 from wxlake.sources import raw
 from wxlake.streaming import live
 
+SF = "/root/testdata/sf0.001"
+
 
 def poll(at, city, time, temp):
     return {"ingested_at": f"2024-01-01T{at}:00Z", "city": city, "dept": "59", "time": f"2024-01-01T{time}",
@@ -147,3 +153,19 @@ def test_log_by_day_is_pruned(spark, tmp_path):
     live.log_latest(rows, str(tmp_path / "log"), str(tmp_path / "checkpoint"), ["k", "d"], ["t"], available_now=True, day="d")
     log = spark.read.schema(data.schema).parquet(str(tmp_path / "log")).filter("d = DATE'2024-01-02'")
     assert log.count() == 1 and "PartitionFilters: [isnotnull(d" in log._jdf.queryExecution().toString()
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no tables")
+def test_feeds_grow_in_files_and_are_dealt_without_the_raw_layer(spark, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_MESSAGES", 5)
+    monkeypatch.setattr(b, "_STAGED", {})
+    n = b.table(spark, SF, "events").count()
+    queries._message_stream(spark, SF)
+    queries._timed_stream(spark, SF)
+    folders = {key[2]: folder for key, folder in b._STAGED.items()}
+    assert set(folders) == {"dealt-messages", "timed-messages"}
+    dealt, lines = spark.read.text(folders["dealt-messages"]), b.message_lines(spark, SF).select("value")
+    assert dealt.count() == n and dealt.exceptAll(lines).count() == 0
+    assert len(dealt.inputFiles()) > 8 and all(f.endswith(".gz") for f in dealt.inputFiles())
+    feed = spark.read.text(f"{folders['timed-messages']}/feed")
+    assert n < feed.count() < 1.3 * n and feed.distinct().exceptAll(lines).count() == 0 and len(feed.inputFiles()) > 8

@@ -353,13 +353,16 @@ def stage_grid(spark: SparkSession, sf: str) -> str:
     return staged(spark, sf, "grid", write)
 
 
+def message_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Live messages as JSON lines, with their timestamp."""
+    fields = [*schemas.LIVE_MESSAGE, "event_id"]
+    return live_messages(spark, sf).select(F.to_json(F.struct(*fields)).alias("value"), "timestamp")
+
+
 def stage_messages(spark: SparkSession, sf: str) -> str:
     def write(folder: str) -> None:
-        messages = live_messages(spark, sf)
-        fields = [*schemas.LIVE_MESSAGE, "event_id"]
-        messages.select(
-            F.to_json(F.struct(*fields)).alias("value"),
-            F.to_date("timestamp").alias("ingest_date"),
+        message_lines(spark, sf).select(
+            "value", F.to_date("timestamp").alias("ingest_date"),
         ).hint("rebalance", "ingest_date").write.partitionBy("ingest_date").text(folder)
     return staged(spark, sf, "messages", write)
 

@@ -1716,17 +1716,28 @@ def _lines_as_messages(lines: DataFrame) -> DataFrame:
     return lines.select("value", sent.alias("timestamp"))
 
 
+#: Messages of a file of a feed: a larger feed has more files in a batch, not larger ones.
+FILE_MESSAGES = 250_000
+
+
+def _files_per_batch(spark, sf) -> int:
+    """Files of each of the four batches of a feed, from the number of its messages."""
+    return max(2, -(-b.table(spark, sf, "events").count() // (4 * FILE_MESSAGES)))
+
+
 def _message_stream(spark, sf) -> DataFrame:
-    """Staged message lines as a stream of value and timestamp.
+    """Message lines as a stream of value and timestamp, in four batches.
 
-    The lines are dealt over eight files without regard to time, two to a batch, so
-    each later batch brings late messages of the days before.
+    The lines are dealt over the files without regard to time, so each later batch
+    brings late messages of the days before.
     """
+    files = _files_per_batch(spark, sf)
+
     def write(folder):
-        lines = spark.read.text(f"{b.stage_messages(spark, sf)}/*")
-        lines.repartition(8, F.xxhash64("value")).write.text(folder)
+        lines = b.message_lines(spark, sf).select("value").repartition(4 * files, F.xxhash64("value"))
+        lines.write.option("compression", "gzip").text(folder)
     dealt = b.staged(spark, sf, "dealt-messages", write)
-    return _lines_as_messages(streams.file_source(spark, dealt, "value string", "text", files_per_batch=2))
+    return _lines_as_messages(streams.file_source(spark, dealt, "value string", "text", files_per_batch=files))
 
 
 @query("stream_land_raw", """
@@ -1811,23 +1822,23 @@ def _timed_stream(spark, sf, end: bool = False):
     """
     ends = b.table(spark, sf, "events").agg(F.min("ts").cast("timestamp").alias("a"), F.max("ts").cast("timestamp").alias("z")).first()
     quarter = int((ends.z - ends.a).total_seconds() / 4) + 1
+    files = _files_per_batch(spark, sf)
 
     def write(folder):
-        lines = spark.read.text(f"{b.stage_messages(spark, sf)}/*").select("value")
-        sent = F.get_json_object("value", "$.ingested_at").cast("timestamp")
-        own = F.floor((F.unix_timestamp(sent) - F.unix_timestamp(F.lit(ends.a))) / quarter).cast("int")
+        lines = b.message_lines(spark, sf)
+        own = F.floor((F.unix_timestamp("timestamp") - F.unix_timestamp(F.lit(ends.a))) / quarter).cast("int")
         late = F.pmod(F.xxhash64("value"), F.lit(10))
         turns = F.when(late == 0, F.array(F.least(own + 1, F.lit(3)))).when(
             late == 1, F.array_distinct(F.array(own, F.least(own + 1, F.lit(3))))).otherwise(F.array(own))
         dealt = lines.select("value", F.explode(turns).alias("turn"))
         for turn in range(4):  # one write after the other, as files are read by age
-            dealt.filter(F.col("turn") == turn).select("value").repartition(2, "value").write.mode("append").text(f"{folder}/feed")
+            dealt.filter(F.col("turn") == turn).select("value").repartition(files, "value").write.mode("append").option("compression", "gzip").text(f"{folder}/feed")
         last = spark.sql("""SELECT '{"ingested_at": "9000-01-01T00:00:00Z", "time": "9000-01-01T00:00"}' AS value""")
         last.coalesce(1).write.text(f"{folder}/end")
 
     folder = b.staged(spark, sf, "timed-messages", write)
     path = f"{folder}/{{feed,end}}" if end else f"{folder}/feed"
-    lines = streams.file_source(spark, path, "value string", "text", files_per_batch=2)
+    lines = streams.file_source(spark, path, "value string", "text", files_per_batch=files)
     # A message of the quarter before may be as old as that quarter's start.
     return _lines_as_messages(lines), f"{quarter + 3600} seconds"
 
