@@ -169,3 +169,13 @@ def test_feeds_grow_in_files_and_are_dealt_without_the_raw_layer(spark, monkeypa
     assert len(dealt.inputFiles()) > 8 and all(f.endswith(".gz") for f in dealt.inputFiles())
     feed = spark.read.text(f"{folders['timed-messages']}/feed")
     assert n < feed.count() < 1.3 * n and feed.distinct().exceptAll(lines).count() == 0 and len(feed.inputFiles()) > 8
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no tables")
+def test_a_larger_inbox_is_written_by_more_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "FILE_MESSAGES", 5)
+    monkeypatch.setattr(queries, "fresh_folder", lambda _, label: str(tmp_path / label))
+    found = queries.QUERIES["stream_checkpoint_resume"](spark, SF).first()
+    n = b.table(spark, SF, "events").count()
+    assert (found.n_rows, found.n_messages) == (n, n)
+    assert len(spark.read.text(str(tmp_path / "resumed" / "inbox")).inputFiles()) > 6

@@ -1751,14 +1751,18 @@ def _(spark, sf):
 
 @query("stream_checkpoint_resume", "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_messages FROM events")
 def _(spark, sf):
-    """Messages come in thirds; the stream starts anew after each, and once more without any."""
+    """Messages come in thirds; the stream starts anew after each, and once more without any.
+
+    A third comes in at least two files, and in about two batches.
+    """
     folder = fresh_folder(spark, "resumed")
     lines = spark.read.text(f"{b.stage_messages(spark, sf)}/*")
+    files = _files_per_batch(spark, sf)
     for third in (0, 1, 2, None):
         if third is not None:
             part = F.pmod(F.xxhash64("value"), F.lit(3)) == third
-            lines.filter(part).coalesce(2).write.mode("append").text(f"{folder}/inbox")
-        inbox = streams.file_source(spark, f"{folder}/inbox", "value string", "text", files_per_batch=1)
+            lines.filter(part).coalesce(2 * files).write.mode("append").text(f"{folder}/inbox")
+        inbox = streams.file_source(spark, f"{folder}/inbox", "value string", "text", files_per_batch=files)
         streams.land_raw(_lines_as_messages(inbox), f"{folder}/raw", f"{folder}/checkpoint", available_now=True)
     landed = spark.read.text(f"{folder}/raw")
     event = F.get_json_object("value", "$.event_id").cast("bigint")
