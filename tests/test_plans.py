@@ -169,6 +169,23 @@ def test_bindings_read_only_needed_columns(spark):
     assert "l_extendedprice" not in text and "l_shipdate" not in text
 
 
+@needs_tables
+def test_staging_writes_the_asked_family_only(spark, monkeypatch):
+    from wxlake.checks.queries import QUERIES
+
+    monkeypatch.setattr(b, "_STAGED", {})
+    writers = spark.conf.get(b.OPEN_FILES)
+    n = b.table(spark, SF, "lineitem").count()
+    for name in ("scan_csv_snapshots", "complete_lots_only"):
+        assert QUERIES[name](spark, SF).count() <= n
+    (folder,) = b._STAGED.values()
+    files = spark.read.option("recursiveFileLookup", True).text(folder).inputFiles()
+    assert files and all("family=RR-T-Vent" in f for f in files)
+    rows = spark.read.option("header", True).option("sep", ";").csv(folder)
+    assert rows.count() == n and rows.filter("substring(NUM_POSTE, 1, 2) <> lpad(dept, 2, '0')").count() == 0
+    assert spark.conf.get(b.OPEN_FILES) == writers
+
+
 def test_job_path_reads_and_sorts_only_what_the_model_has(spark, tmp_path):
     from conftest import write_lot
     from wxlake.operators import clean

@@ -14,6 +14,7 @@ from wxlake import schemas
 from wxlake.dimensions import FEATURED
 from wxlake.functions.dates import quarter_floor
 from wxlake.operators import clean
+from wxlake.operators.lots import FAMILIES
 from wxlake.session import fresh_folder
 
 # Order columns that make the newest row unique.
@@ -45,11 +46,18 @@ def snapshot_day(key: Column) -> Column:
 
 # -- station days -------------------------------------------------------------
 
-def daily_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw daily columns of both families, numbers not yet text."""
+def _daily_items(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem")
     stations = table(spark, sf, "supplier")
-    rows = items.join(stations, items.l_suppkey == stations.s_suppkey)
+    return items.join(stations, items.l_suppkey == stations.s_suppkey)
+
+
+def daily_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw daily columns of both families, numbers not yet text."""
+    return _daily_columns(_daily_items(spark, sf))
+
+
+def _daily_columns(rows: DataFrame) -> DataFrame:
     line, part = F.col("l_linenumber"), F.col("l_partkey")
     low = F.col("l_quantity") - 15
     return rows.select(
@@ -316,21 +324,37 @@ def _write_lots(df: DataFrame, folder: str, columns) -> None:
     )
 
 
-def stage_daily(spark: SparkSession, sf: str) -> str:
+#: Setting for the files that a writing task may hold open at once; beyond them it sorts.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def stage_daily(spark: SparkSession, sf: str, *families: str) -> str:
+    """Lots of the given families, by default of both, in a folder of their own."""
+    names = {FAMILIES[0]: MAIN_TEXT, FAMILIES[1]: OTHER_TEXT}
+    wanted = families or FAMILIES
+
     def write(folder: str) -> None:
-        rows = daily_rows(spark, sf)
-        for family, names in (("RR-T-Vent", MAIN_TEXT), ("autres-parametres", OTHER_TEXT)):
-            lots = _text(rows, (*names, "snapshot")).select(
+        keys = ["dept", "period", "family", "snapshot"]
+        for family in wanted:
+            # The tables' rows are dealt to lots, not their text, which is several times as wide.
+            dealt = _daily_items(spark, sf).withColumns({
+                "_lot": area_code(F.col("s_nationkey")), "_day": snapshot_day(F.col("l_orderkey"))}).hint("rebalance", "_lot", "_day")
+            lots = _text(_daily_columns(dealt), (*names[family], "snapshot")).select(
                 "*", F.substring("NUM_POSTE", 1, 2).alias("dept"),
                 F.lit("latest").alias("period"), F.lit(family).alias("family"),
             )
-            keys = ["dept", "period", "family", "snapshot"]
-            # One folder tree holds both families: the second is added to the first.
-            (
-                lots.hint("rebalance", *keys).write.mode("append").option("header", True)
-                .option("sep", ";").option("compression", "gzip").partitionBy(*keys).csv(folder)
-            )
-    return staged(spark, sf, "daily", write)
+            # One folder tree holds the families: the second is added to the first. A task holds few lots, so their
+            # files are open side by side and the wide text rows need no sort.
+            before = spark.conf.get(OPEN_FILES)
+            spark.conf.set(OPEN_FILES, "100")
+            try:
+                (
+                    lots.write.mode("append").option("header", True).option("sep", ";").option("compression", "gzip")
+                    .option("zlib.compress.level", "BEST_SPEED").partitionBy(*keys).csv(folder)
+                )
+            finally:
+                spark.conf.set(OPEN_FILES, before)
+    return staged(spark, sf, "-".join(["daily", *wanted]), write)
 
 
 def stage_hourly(spark: SparkSession, sf: str) -> str:
