@@ -200,6 +200,45 @@ def test_job_path_reads_and_sorts_only_what_the_model_has(spark, tmp_path):
     assert [r.temperature for r in daily.collect()] == [2.5]
 
 
+@needs_tables
+def test_lots_are_staged_without_a_shuffle_and_hold_the_text_of_a_cast(spark, monkeypatch):
+    monkeypatch.setattr(b, "_STAGED", {})
+    group = f"staging-{id(monkeypatch)}"
+    spark.sparkContext.setJobGroup(group, "staging")
+    try:
+        root = b.stage_daily(spark, SF)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    # Behind a shuffle, the job that writes has the shuffle's stage too.
+    written = [j for j in tracker.getJobIdsForGroup(group) if len(tracker.getJobInfo(j).stageIds) > 1]
+    assert written == []
+    from wxlake.sources import raw
+
+    for family, names in zip(b.FAMILIES, (b.MAIN_TEXT, b.OTHER_TEXT)):
+        found = raw.read_daily_family(spark, root, family, names).select(*names, "snapshot")
+        wanted = b._text(b.daily_rows(spark, SF), (*names, "snapshot"))
+        assert found.exceptAll(wanted).count() == 0 and wanted.exceptAll(found).count() == 0
+
+
+def test_daily_families_are_sorted_by_a_number_and_each_column_once(spark, tmp_path):
+    from conftest import write_lot
+    from wxlake.operators import clean
+    from wxlake.sources import raw
+
+    row = {"NUM_POSTE": "59000001", "AAAAMMJJ": "20240101", "TM": "1.5", "INST": "7"}
+    for family, columns in zip(b.FAMILIES, (schemas.DAILY_MAIN_COLUMNS, schemas.DAILY_OTHER_COLUMNS)):
+        write_lot(tmp_path, f"dept=59/period=latest-2025-2026/family={family}/snapshot=2026-01-01", columns, [row, {**row, "TM": None, "INST": None}])
+    main, other = (raw.read_daily_family(spark, str(tmp_path), family) for family in b.FAMILIES)
+    found = clean.official_observations(main, other)
+    text = plan(found)
+    assert not re.search(r"(?<!named_)struct\(", text)
+    sorts = re.findall(r"Sort \[(\w+)#", text)
+    assert sorts and set(sorts) == {clean.KEY_HASH}
+    assert clean.KEY_HASH not in found.columns + clean.daily_main(main).columns + clean.daily_other(other).columns
+    assert [(r.temperature, r.sunshine_min) for r in found.collect()] == [(1.5, 7.0)]
+
+
 def test_quantiles_put_values_in_order_in_bounded_parts(spark, monkeypatch):
     from wxlake.operators import profile
 

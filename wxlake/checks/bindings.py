@@ -41,7 +41,7 @@ def pick(values, position: Column) -> Column:
 
 
 def snapshot_day(key: Column) -> Column:
-    return F.date_format(F.date_add(F.lit("2002-01-01").cast("date"), (key % 3).cast("int")), "yyyy-MM-dd")
+    return F.date_add(F.lit("2002-01-01").cast("date"), (key % 3).cast("int")).cast("string")
 
 
 # -- station days -------------------------------------------------------------
@@ -66,7 +66,7 @@ def _daily_columns(rows: DataFrame) -> DataFrame:
         (F.lit(42.0) + F.col("s_nationkey") % 9).alias("LAT"),
         (F.col("s_nationkey") % 13 - 5).cast("double").alias("LON"),
         F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("ALTI"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("AAAAMMJJ"),
+        F.replace(F.to_date("l_shipdate").cast("string"), F.lit("-"), F.lit("")).alias("AAAAMMJJ"),
         (F.round(F.col("l_discount") * 100) * 2).alias("RR"), (line % 5).alias("QRR"),
         low.alias("TN"), ((line + 1) % 8).alias("QTN"),
         (F.col("l_quantity") - 4).alias("TX"), ((line + 1) % 8).alias("QTX"),
@@ -328,23 +328,25 @@ def _write_lots(df: DataFrame, folder: str, columns) -> None:
 OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
-def stage_daily(spark: SparkSession, sf: str, *families: str) -> str:
-    """Lots of the given families, by default of both, in a folder of their own."""
-    names = {FAMILIES[0]: MAIN_TEXT, FAMILIES[1]: OTHER_TEXT}
+def stage_daily(spark: SparkSession, sf: str, *families: str, ties=DAILY_TIES) -> str:
+    """Lots of the given families, by default of both, in a folder of their own.
+
+    They hold the columns of the model and the given columns of the tables.
+    """
+    names = {FAMILIES[0]: (*schemas.DAILY_MAIN_COLUMNS, *ties), FAMILIES[1]: (*schemas.DAILY_OTHER_COLUMNS, *ties)}
     wanted = families or FAMILIES
 
     def write(folder: str) -> None:
         keys = ["dept", "period", "family", "snapshot"]
         for family in wanted:
-            # The tables' rows are dealt to lots, not their text, which is several times as wide.
-            dealt = _daily_items(spark, sf).withColumns({
-                "_lot": area_code(F.col("s_nationkey")), "_day": snapshot_day(F.col("l_orderkey"))}).hint("rebalance", "_lot", "_day")
-            lots = _text(_daily_columns(dealt), (*names[family], "snapshot")).select(
-                "*", F.substring("NUM_POSTE", 1, 2).alias("dept"),
+            # Each task writes its part of every lot, so nothing is shuffled. The writer turns numbers to the same text as a
+            # cast does, without a row of texts in between.
+            lots = _daily_columns(_daily_items(spark, sf)).select(
+                *names[family], "snapshot", F.substring("NUM_POSTE", 1, 2).alias("dept"),
                 F.lit("latest").alias("period"), F.lit(family).alias("family"),
             )
-            # One folder tree holds the families: the second is added to the first. A task holds few lots, so their
-            # files are open side by side and the wide text rows need no sort.
+            # One folder tree holds the families: the second is added to the first. An area has three lots, so a
+            # task's files are open side by side and its rows need no sort.
             before = spark.conf.get(OPEN_FILES)
             spark.conf.set(OPEN_FILES, "100")
             try:
@@ -354,7 +356,7 @@ def stage_daily(spark: SparkSession, sf: str, *families: str) -> str:
                 )
             finally:
                 spark.conf.set(OPEN_FILES, before)
-    return staged(spark, sf, "-".join(["daily", *wanted]), write)
+    return staged(spark, sf, "-".join(["daily", *wanted, *ties]), write)
 
 
 def stage_hourly(spark: SparkSession, sf: str) -> str:

@@ -326,8 +326,11 @@ def _(spark, sf):
     SELECT {o.OBS_COLUMNS} FROM ({o.newest_lot(o.MAIN_COLUMNS)}) m
     JOIN ({o.newest_lot(o.OTHER_COLUMNS)}) x USING (station_id, obs_date)""")
 def _(spark, sf):
-    """Files to observations as the job does it: header columns, ties by the cleaned columns."""
-    root = b.stage_daily(spark, sf)
+    """Files to observations as the job does it: header columns, ties by the cleaned columns.
+
+    The files have one column that the model does not have, so the header line counts.
+    """
+    root = b.stage_daily(spark, sf, ties=["l_linenumber"])
     main, other = (raw.read_daily_family(spark, root, family) for family in lots.FAMILIES)
     return clean.official_observations(main, other).select(*OBS)
 

@@ -29,6 +29,8 @@ HOURLY_MEASURES = {
     "temp": "T", "precip_mm": "RR1", "wind_ms": "FF", "gust_ms": "FXI", "humidity_pct": "U",
 }
 FOG_CODES = (45, 48)
+STATION_DAY = ("station_id", "obs_date")
+KEY_HASH = "_key_hash"
 # Fixed value: area codes of the mainland in the alert maps.
 MAINLAND_AREA = "^([0-9]{2}|2A|2B)$"
 
@@ -57,49 +59,66 @@ def _newest(
     raw: DataFrame, keys: Sequence[str], columns: Sequence[Column], newest: Sequence[str],
     tiebreak: Sequence[str] | None,
 ) -> DataFrame:
-    """Cleaned columns of the newest row per key.
+    """Cleaned columns of the newest row per key, and a hash of the key.
 
     Rows are projected first, so columns of the files that the model does not
-    have are neither read nor sorted. Columns that only order the rows are dropped.
+    have are not sorted. The hash is the first key: a sort tells numbers apart
+    without a look at the rows, while texts that begin alike need one. Columns
+    that only order the rows are dropped.
     """
     order = [*newest, *(tiebreak or ())]
     rows = raw.select(*columns, *[F.col(c).alias(f"_{c}") for c in order])
     rows = rows.filter(F.col(keys[-1]).isNotNull())
+    rows = rows.withColumn(KEY_HASH, F.xxhash64(*keys))
     ties = None if tiebreak is None else [f"_{c}" for c in tiebreak]
-    return latest_per_key(rows, keys, [f"_{c}" for c in newest], ties).drop(*[f"_{c}" for c in order])
+    found = latest_per_key(rows, [KEY_HASH, *keys], [f"_{c}" for c in newest], ties)
+    return found.drop(*[f"_{c}" for c in order])
 
 
 def _daily_key() -> Column:
     return dates.parse_day(F.col("AAAAMMJJ")).alias("obs_date")
 
 
+def _main_columns() -> list[Column]:
+    return [*_station_columns(), _daily_key(), *checked_measures(DAILY_MAIN_MEASURES)]
+
+
+def _other_columns() -> list[Column]:
+    return [
+        F.col("NUM_POSTE").alias("station_id"), _daily_key(), *checked_measures(DAILY_OTHER_MEASURES),
+    ]
+
+
 def daily_main(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """First daily family, newest snapshot per station and day."""
-    columns = [*_station_columns(), _daily_key(), *checked_measures(DAILY_MAIN_MEASURES)]
-    return _newest(raw, ["station_id", "obs_date"], columns, ["snapshot"], tiebreak)
+    return _newest(raw, STATION_DAY, _main_columns(), ["snapshot"], tiebreak).drop(KEY_HASH)
 
 
 def daily_other(raw: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Second daily family, newest snapshot per station and day."""
-    columns = [
-        F.col("NUM_POSTE").alias("station_id"), _daily_key(), *checked_measures(DAILY_OTHER_MEASURES),
-    ]
-    return _newest(raw, ["station_id", "obs_date"], columns, ["snapshot"], tiebreak)
+    return _newest(raw, STATION_DAY, _other_columns(), ["snapshot"], tiebreak).drop(KEY_HASH)
 
 
-def join_families(main: DataFrame, other: DataFrame) -> DataFrame:
+def join_families(main: DataFrame, other: DataFrame, keys: Sequence[str] = STATION_DAY) -> DataFrame:
     """Main measurements with the secondary ones where present.
 
     Both sides have one row per station and day, so no key can be hot.
     """
-    return main.join(other, ["station_id", "obs_date"], "left")
+    return main.join(other, list(keys), "left")
 
 
 def official_observations(
     main_raw: DataFrame, other_raw: DataFrame, tiebreak: Sequence[str] | None = None
 ) -> DataFrame:
-    """Both raw daily families to the common observation table."""
-    joined = join_families(daily_main(main_raw, tiebreak), daily_other(other_raw, tiebreak))
+    """Both raw daily families to the common observation table.
+
+    They are joined as they were grouped and sorted for the newest rows.
+    """
+    joined = join_families(
+        _newest(main_raw, STATION_DAY, _main_columns(), ["snapshot"], tiebreak),
+        _newest(other_raw, STATION_DAY, _other_columns(), ["snapshot"], tiebreak),
+        [KEY_HASH, *STATION_DAY],
+    )
     return schemas.conform(
         joined.select(
             "*", F.lit(OFFICIAL).alias("source"), F.lit("daily").alias("granularity"),

@@ -13,19 +13,16 @@ def latest_per_key(
 ) -> DataFrame:
     """Keep the row with the highest ``newest`` columns for each key.
 
-    Equal rows are ordered by ``tiebreak``, by default all other columns as one
-    key, so the kept row never depends on the order of the input. Project first:
-    whatever the rows still hold is read, sorted and shuffled.
+    Equal rows are ordered by ``tiebreak``, by default all other columns by name,
+    so the kept row never depends on the order of the input. Project first:
+    whatever the rows still hold is read, sorted and shuffled, each column once.
 
     ``row_number() = 1`` is planned as a group limit on both sides of the
     exchange: every input task sends at most one row per key, whatever share of
     the rows the key has.
     """
-    rest = sorted(set(df.columns) - set(keys) - set(newest))
-    ties = [F.col(f"`{c}`") for c in tiebreak or ()]
-    if tiebreak is None and rest:
-        ties = [F.struct(*[F.col(f"`{c}`") for c in rest])]
-    order = [c.desc_nulls_last() for c in (*[F.col(f"`{c}`") for c in newest], *ties)]
+    ties = sorted(set(df.columns) - set(keys) - set(newest)) if tiebreak is None else tiebreak
+    order = [F.col(f"`{c}`").desc_nulls_last() for c in (*newest, *ties)]
     window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
