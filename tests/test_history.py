@@ -182,6 +182,39 @@ def test_bins_follow_the_lengths_of_the_ranges(spark):
     assert joins.bin_width(1, 1) == 1 and joins.bin_width(1, 8000) == 1000
 
 
+def test_pairs_are_laid_out_so_that_files_stay_small(spark, tmp_path):
+    periods = spark.range(60_000).selectExpr("xxhash64(id) AS id", "date'1990-01-01' + cast(pmod(xxhash64(id, 1), 2400) AS int) AS s").selectExpr("*", "IF(id % 97 <> 0, s + cast(pmod(id, 40) AS int), NULL) AS e")
+    requests = spark.range(3_000).selectExpr("id AS r", "date'1990-01-01' + cast(pmod(xxhash64(id, 2), 2000) AS int) AS f").selectExpr("*", "f + cast(r % 30 AS int) AS t")
+    found = joins.overlap_join(requests, periods, ("f", "t"), ("s", "e"))
+    # Both sides are dealt out, however small one is: a copy of it in each task would keep the order of the other.
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    found.select("id", "r", "f", "t").write.parquet(f"{tmp_path}/pairs")
+    written = spark.read.parquet(f"{tmp_path}/pairs")
+    size = sum(f.stat().st_size for f in tmp_path.glob("pairs/*.parquet"))
+    wanted = requests.join(periods, F.expr("s <= t AND coalesce(e, date'9999-12-31') >= f"))
+    agg = [F.count("*"), F.sum(F.xxhash64("id", "r", "f", "t").cast("decimal(38,0)"))]
+    assert written.agg(*agg).first() == wanted.agg(*agg).first()
+    assert size < 2 * written.count()
+
+
+def test_a_hot_key_is_cut_into_tiles(spark):
+    # One key and one range, rows that come twice, NULL values, a kind of column that has no hash.
+    rows = spark.range(5_000).selectExpr("'a' AS k", "cast(1 AS bigint) AS _bin", "1 AS s", "2 AS e", "IF(id % 3 = 0, NULL, id % 1000) AS v", "map(id, 'x') AS m")
+    for salts in (1, 7):
+        tiles = joins.tiled(rows, ["k", "_bin"], "s", "e", salts, "_l_")
+        most, total = tiles.agg(F.max(F.size("_l_0")), F.sum(F.size("_l_0"))).first()
+        assert most <= joins.TILE_ROWS and total == 5_000
+        back = tiles.select(F.explode("_l_2").alias("v"))
+        assert back.exceptAll(rows.select("v")).isEmpty() and back.count() == 5_000
+    left = rows.filter("v < 30 OR v IS NULL").selectExpr("k", "date'1990-01-01' AS s", "date'1990-01-03' AS e", "v", "m")
+    right = spark.range(700).selectExpr("'a' AS k", "date'1990-01-02' AS s2", "IF(id = 3, NULL, date'1990-01-02') AS e2", "IF(id < 600, NULL, 'w') AS w")
+    found = joins.overlap_join(left, right, ("s", "e"), ("s2", "e2"), ["k"])
+    assert found.columns == ["k", "s", "e", "v", "m", "s2", "e2", "w"]
+    n = left.count()
+    assert found.agg(F.count("*"), F.count("v"), F.count("w"), F.count("e2"), F.count("m")).first() == (
+        700 * n, 700 * left.filter("v IS NOT NULL").count(), 100 * n, 699 * n, 700 * n)
+
+
 def test_as_of_equals_searching(spark):
     pick = random.Random(4)
     entries = [(pick.choice("ab"), START + dt.timedelta(days=pick.randint(0, 3000)), pick.randint(0, 99)) for _ in range(200)]
